@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tierworks.checks import tables_queries
+from tierworks.checks import change_queries, synth_queries, tables_queries, text_queries
 
-_MODULES = [tables_queries]
+_MODULES = [tables_queries, text_queries, change_queries, synth_queries]
 
 
 def queries() -> dict:

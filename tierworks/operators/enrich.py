@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tierworks.functions import text as tx
+from tierworks.functions.masking import hash_normalised
 from tierworks.session import fresh_path
 
 
@@ -84,6 +85,26 @@ def _count(hits: str, terms: Sequence[str]) -> Column:
     return F.size(tx.keep_terms(F.col(hits), [t.lower() for t in terms]))
 
 
+def _sentiment_of(df: DataFrame, text: str, lexicon: Lexicon, out: str, min_chars: int) -> DataFrame:
+    """Sentiment from the distinct hits in ``_hits``."""
+    counted = df.withColumns(
+        {
+            "_positive": _count("_hits", lexicon.positive),
+            "_negative": _count("_hits", lexicon.negative),
+        }
+    )
+    rule = tx.sentiment_rule(F.col("_positive"), F.col("_negative"))
+    gated = F.when(tx.long_enough(F.col(text), min_chars), rule)
+    return counted.withColumn(out, gated).drop("_positive", "_negative")
+
+
+def _topic_of(df: DataFrame, text: str, taxonomy: Taxonomy, out: str, min_chars: int) -> DataFrame:
+    """Topic from the distinct hits in ``_hits``."""
+    votes = {label: _count("_hits", terms) for label, terms in taxonomy.terms.items()}
+    label = tx.best_label(votes, taxonomy.fallback)
+    return df.withColumn(out, F.when(tx.long_enough(F.col(text), min_chars), label))
+
+
 def sentiment(
     df: DataFrame,
     text: str,
@@ -93,15 +114,22 @@ def sentiment(
 ) -> DataFrame:
     """Label each row by how many different positive and negative words it holds."""
     found = _distinct_hits(df, text, lexicon.terms, "_hits")
-    counted = found.withColumns(
-        {
-            "_positive": _count("_hits", lexicon.positive),
-            "_negative": _count("_hits", lexicon.negative),
-        }
-    )
-    rule = tx.sentiment_rule(F.col("_positive"), F.col("_negative"))
-    gated = F.when(tx.long_enough(F.col(text), min_chars), rule)
-    return counted.withColumn(out, gated).drop("_hits", "_positive", "_negative")
+    return _sentiment_of(found, text, lexicon, out, min_chars).drop("_hits")
+
+
+def sentiment_and_topic(
+    df: DataFrame,
+    text: str,
+    lexicon: Lexicon = DEFAULT_LEXICON,
+    taxonomy: Taxonomy | None = None,
+    min_chars: int = tx.MIN_CHARS,
+) -> DataFrame:
+    """``sentiment`` and ``classify`` from one pass over the words of each text."""
+    taxonomy = taxonomy or Taxonomy()
+    terms = tx.check_inline([*lexicon.terms, *taxonomy.all_terms])
+    found = _distinct_hits(df, text, terms, "_hits")
+    scored = _sentiment_of(found, text, lexicon, "sentiment_label", min_chars)
+    return _topic_of(scored, text, taxonomy, "topic_label", min_chars).drop("_hits")
 
 
 def learn_lexicon(
@@ -177,11 +205,7 @@ def classify(
     """One label per row: most different key words, earlier label first, else the fallback."""
     taxonomy = taxonomy or Taxonomy()
     found = _distinct_hits(df, text, taxonomy.all_terms, "_hits")
-    votes = {label: _count("_hits", terms) for label, terms in taxonomy.terms.items()}
-    gated = F.when(
-        tx.long_enough(F.col(text), min_chars), tx.best_label(votes, taxonomy.fallback)
-    )
-    return found.withColumn(out, gated).drop("_hits")
+    return _topic_of(found, text, taxonomy, out, min_chars).drop("_hits")
 
 
 def extract(
@@ -190,8 +214,9 @@ def extract(
     fields: Mapping[str, str | Sequence[str]],
     out: str = "extracted_entities",
     min_chars: int = tx.MIN_CHARS,
+    hashed: Sequence[str] = (),
 ) -> DataFrame:
-    """A struct with one string per field.
+    """A struct with one string per field; those in ``hashed`` leave as SHA-256.
 
     A field is either a pattern whose first group is taken, or a list of known names
     (lower case) of which the first in the text is taken.
@@ -200,14 +225,13 @@ def extract(
     for names in lists:
         tx.check_inline(names)
     worded = df.withColumn("_words", tx.words(F.col(text))) if lists else df
-    members = [
-        (
-            tx.pattern_field(F.col(text), spec)
-            if isinstance(spec, str)
-            else tx.first_term(F.col("_words"), [n.lower() for n in spec])
-        ).alias(name)
-        for name, spec in fields.items()
-    ]
+    members = []
+    for name, spec in fields.items():
+        if isinstance(spec, str):
+            value = tx.pattern_field(F.col(text), spec)
+        else:
+            value = tx.first_term(F.col("_words"), [n.lower() for n in spec])
+        members.append((hash_normalised(value) if name in hashed else value).alias(name))
     gated = F.when(tx.long_enough(F.col(text), min_chars), F.struct(*members))
     return worded.withColumn(out, gated).drop("_words")
 

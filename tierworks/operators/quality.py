@@ -5,6 +5,7 @@ A row passes an expectation only when the predicate is true; NULL fails.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -97,7 +98,13 @@ def dropped(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
 
 
 def enforce(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
-    """Lazy form of both actions: drop filters, and a row that must not exist ends the job."""
+    """Lazy form of both actions: drop filters, and a row that must not exist ends the job.
+
+    The violations are observed as well, under a name of their own; this also keeps
+    the filters above costly columns, which would otherwise be computed twice.
+    """
+    if expectations:
+        df = df.observe(f"expectations-{uuid.uuid4().hex}", *violation_counts(expectations))
     for e in expectations:
         if e.action == "fail":
             stop = F.raise_error(F.lit(f"expectation {e.name} failed")).cast("boolean")

@@ -129,14 +129,8 @@ def silver_review_sentiment(
         "review_id", "customer_id", "franchise_id", "product_id",
         F.col("review_text").alias("source_text"),
     )
-    scored = enrich.sentiment(texts, "source_text", lexicon)
-    topical = enrich.classify(scored, "source_text", taxonomy)
-    entities = enrich.extract(topical, "source_text", fields)
-    if "staff_name" in fields:
-        hidden = masking.hash_normalised(F.col("extracted_entities.staff_name"))
-        entities = entities.withColumn(
-            "extracted_entities", F.col("extracted_entities").withField("staff_name", hidden)
-        )
+    scored = enrich.sentiment_and_topic(texts, "source_text", lexicon, taxonomy)
+    entities = enrich.extract(scored, "source_text", fields, hashed=["staff_name"])
     if summary_words:
         entities = enrich.summarize(entities, "source_text", summary_words)
     flagged = entities.select(

@@ -19,6 +19,7 @@ from tierworks.functions import calendar
 
 PRIME = 2**31 - 1
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
+BASE_26 = "0123456789ABCDEFGHIJKLMNOP"
 DIGITS_PER_DRAW = 8
 LETTERS_PER_DRAW = 6
 WORD_LETTERS = 6
@@ -65,7 +66,7 @@ class Field:
         value = self.make(number, seed, name).cast(self.dtype)
         if self.null_share:
             value = F.when(unit(number, seed, f"{name}#null") >= self.null_share, value)
-        return value.alias(name)
+        return value
 
 
 def choice(values: Sequence, weights: Sequence[float] | None = None, dtype: str = "string") -> Field:
@@ -129,7 +130,7 @@ def time_of_day() -> Field:
     def make(number: Column, seed: int, name: str) -> Column:
         second = F.pmod(draw(number, seed, name), F.lit(86400))
         parts = [F.floor(second / 3600), F.pmod(F.floor(second / 60), F.lit(60)), F.pmod(second, F.lit(60))]
-        return F.format_string("%02d:%02d:%02d", *[p.cast("long") for p in parts])
+        return F.concat_ws(":", *[F.lpad(p.cast("string"), 2, "0") for p in parts])
 
     return Field(make)
 
@@ -172,11 +173,11 @@ def template(pattern: str) -> Field:
                 if kind == "digits":
                     rest = F.pmod(value, F.lit(10**size)).cast("string")
                     parts.append(F.lpad(rest, size, "0"))
-                    continue
-                for position in range(size):
-                    shifted = F.floor(value / F.lit(26**position)).cast("long")
-                    at = (F.pmod(shifted, F.lit(26)) + 1).cast("int")
-                    parts.append(F.substring(F.lit(LETTERS), at, F.lit(1)))
+                else:
+                    # The number in base 26, its digits written as letters.
+                    rest = F.pmod(value, F.lit(26**size)).cast("string")
+                    digits = F.lpad(F.conv(rest, 10, 26), size, "0")
+                    parts.append(F.translate(digits, BASE_26, LETTERS))
         return F.concat(*parts)
 
     return Field(make)
@@ -209,15 +210,21 @@ def foreign_key(parent: Key, parent_rows: int) -> Field:
 Spec = Mapping[str, Field]
 
 
-def columns(df: DataFrame, number: str, spec: Spec, seed: int = 0) -> DataFrame:
-    """Generate ``spec`` for the row numbers in the column ``number``."""
+def columns(df: DataFrame, number: str, spec: Spec, seed: int = 0, label: str = "") -> DataFrame:
+    """Generate ``spec`` for the row numbers in the column ``number``.
+
+    ``label``, a table's name, keeps equally named columns of two tables apart.
+    """
     keyed = df.select(F.col(number).cast("long").alias("id"))
-    return keyed.select(*[field.column(F.col("id"), seed, name) for name, field in spec.items()])
+    made = [f.column(F.col("id"), seed, f"{label}.{c}").alias(c) for c, f in spec.items()]
+    return keyed.select(*made)
 
 
-def table(spark: SparkSession, spec: Spec, rows: int, partitions: int, seed: int = 0) -> DataFrame:
+def table(
+    spark: SparkSession, spec: Spec, rows: int, partitions: int, seed: int = 0, label: str = ""
+) -> DataFrame:
     """``rows`` rows of ``spec`` in ``partitions`` partitions, without a shuffle."""
-    return columns(spark.range(0, rows, 1, partitions), "id", spec, seed)
+    return columns(spark.range(0, rows, 1, partitions), "id", spec, seed, label)
 
 
 def date_dimension(spark: SparkSession, start: str, days: int, partitions: int = 2) -> DataFrame:
