@@ -7,12 +7,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tierworks.sources import readers
+
 RUN_TS = "2024-02-01 00:00:00"
 AS_OF = "2024-02-01"
 
 
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return readers.spread(df) if name in TEXT_TABLES else df
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,27 +28,20 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     base = read(spark, sf_dir, "customer")
     placed = base.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    unknown_income = (F.col("c_mktsegment") == "MACHINERY") & (F.col("c_acctbal") < 0)
-    area = (F.col("c_nationkey") + 200).cast("string")
-    line = F.lpad((F.col("c_custkey") % 10000).cast("string"), 4, "0")
-    return placed.select(
-        F.col("c_custkey").alias("customer_id"),
-        F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
-        F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
-        F.concat(F.lit(" User"), F.col("c_custkey"), F.lit("@Mail"), F.col("c_nationkey"),
-                 F.lit(".Example.COM ")).alias("email"),
-        F.when(
-            F.col("c_mktsegment") != "HOUSEHOLD",
-            F.concat(F.lit("+1 ("), area, F.lit(") 555-"), line),
-        ).alias("phone"),
-        F.date_add(F.lit("1940-01-01").cast("date"), (F.col("c_custkey") * 37 % 24000).cast("int")).alias(
-            "date_of_birth"
-        ),
-        (F.col("c_custkey") * 13 % 301 + 550).alias("credit_score"),
-        F.when(~unknown_income, F.col("c_acctbal") * 30).alias("annual_income"),
-        F.col("n_name").alias("country"),
-        F.col("r_name").alias("region"),
-        F.col("c_mktsegment").alias("customer_segment"),
+    return placed.selectExpr(
+        "c_custkey AS customer_id",
+        "split_part(c_name, '#', 1) AS first_name",
+        "split_part(c_name, '#', 2) AS last_name",
+        "concat(' User', c_custkey, '@Mail', c_nationkey, '.Example.COM ') AS email",
+        """IF(c_mktsegment <> 'HOUSEHOLD', concat('+1 (', c_nationkey + 200, ') 555-',
+           lpad(CAST(c_custkey % 10000 AS STRING), 4, '0')), NULL) AS phone""",
+        "date_add(DATE '1940-01-01', CAST(c_custkey * 37 % 24000 AS INT)) AS date_of_birth",
+        "c_custkey * 13 % 301 + 550 AS credit_score",
+        """IF(c_mktsegment = 'MACHINERY' AND c_acctbal < 0, NULL, c_acctbal * 30)
+           AS annual_income""",
+        "n_name AS country",
+        "r_name AS region",
+        "c_mktsegment AS customer_segment",
     )
 
 

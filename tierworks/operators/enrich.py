@@ -328,8 +328,9 @@ def batch_infer(
     known = read_answers(spark, cache, schema)
     if known is not None:
         distinct = distinct.join(known, "_text_key", "left_anti")
-    if partitions:
-        distinct = distinct.repartition(partitions, "_text_key")
+    # Models are slow: spread the few texts left over many tasks, whatever their size.
+    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    distinct = distinct.repartition(count, "_text_key")
 
     def run(batches):
         for batch in batches:

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tierworks.functions.masking import TEXT_PATTERNS
+from tierworks.functions.masking import TEXT_PATTERNS, count_matches, has_match
 
 # Name patterns, class and risk of personal columns.
 NAME_CLASSES: list[tuple[str, tuple[str, ...], str]] = [
@@ -48,79 +48,64 @@ def personal_columns(names: Sequence[str]) -> dict[str, tuple[str, str]]:
     return {c: hit for c, hit in found.items() if hit}
 
 
-def _hits(column: str) -> list[tuple[str, str, Column]]:
-    return [
-        (name, risk, F.count_if(F.col(column).rlike(TEXT_PATTERNS[pattern])))
-        for pattern, (name, risk) in VALUE_CLASSES.items()
-    ]
-
-
 def columns_report(df: DataFrame, threshold: float = 0.01) -> DataFrame:
     """Personal columns of ``df`` with the evidence for each, from one pass over the rows.
 
     Evidence is ``name`` (the column is called so), ``value`` (at least ``threshold``
     of its filled values look so) or ``both``.
     """
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    fields = df.schema.fields
+    texts = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
     named = personal_columns(df.columns)
-    counters, lines = [], []
+    counters = [F.count(F.col(c)).alias(f"{c}__filled") for c in df.columns]
+    lines: list[str] = []
     for column in df.columns:
-        filled = f"{column}__filled"
-        counters.append(F.count(F.col(column)).alias(filled))
-        matched: dict[str, tuple[str, str]] = {}
-        for kind, risk, count in _hits(column) if column in texts else []:
-            alias = f"{column}__{kind}"
-            counters.append(count.alias(alias))
-            matched[kind] = (risk, alias)
-        if column in named and named[column][0] not in matched:
-            matched[named[column][0]] = (named[column][1], "")
-        for kind, (risk, alias) in matched.items():
-            rate = (
-                F.round(F.col(alias).cast("double") / F.nullif(F.col(filled), F.lit(0)), 4)
-                if alias
-                else F.lit(None).cast("double")
-            )
-            by_name = F.lit(column in named and named[column][0] == kind)
-            by_value = F.coalesce(rate >= F.lit(threshold), F.lit(False))
+        kinds: dict[str, tuple[str, str]] = {}
+        for pattern, (kind, risk) in VALUE_CLASSES.items() if column in texts else ():
+            counter = f"{column}__{kind}"
+            counters.append(F.count_if(has_match(F.col(column), pattern)).alias(counter))
+            rate = f"round(CAST(`{counter}` AS DOUBLE) / nullif(`{column}__filled`, 0), 4)"
+            kinds[kind] = (risk, rate)
+        if column in named:
+            kinds.setdefault(named[column][0], (named[column][1], "CAST(NULL AS DOUBLE)"))
+        for kind, (risk, rate) in kinds.items():
+            by_name = column in named and named[column][0] == kind
             lines.append(
-                F.struct(
-                    F.lit(column).alias("column_name"),
-                    F.lit(kind).alias("pii_type"),
-                    F.lit(risk).alias("risk"),
-                    rate.alias("hit_rate"),
-                    F.when(by_name & by_value, F.lit("both"))
-                    .when(by_name, F.lit("name"))
-                    .when(by_value, F.lit("value"))
-                    .alias("evidence"),
-                )
+                f"struct('{column}' AS column_name, '{kind}' AS pii_type, '{risk}' AS risk, "
+                f"{rate} AS hit_rate, {str(by_name).lower()} AS by_name)"
             )
     if not lines:
         empty = "column_name string, pii_type string, risk string, hit_rate double, evidence string"
         return df.sparkSession.createDataFrame([], empty)
-    found = df.agg(*counters).select(F.inline(F.array(*lines)))
-    return found.filter(F.col("evidence").isNotNull())
+    found = df.agg(*counters).selectExpr(f"inline(array({', '.join(lines)}))")
+    by_value = F.coalesce(F.col("hit_rate") >= F.lit(threshold), F.lit(False))
+    evidence = (
+        F.when(F.col("by_name") & by_value, F.lit("both"))
+        .when(F.col("by_name"), F.lit("name"))
+        .when(by_value, F.lit("value"))
+    )
+    judged = found.withColumn("evidence", evidence).drop("by_name")
+    return judged.filter(F.col("evidence").isNotNull())
 
 
 def scan_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows touched and matches found per text column and class, in one pass."""
-    counters, lines = [], []
-    for column in columns:
-        for name, pattern in TEXT_PATTERNS.items():
-            matches = F.regexp_count(F.col(column), F.lit(pattern))
-            total, touched = f"{column}__{name}__n", f"{column}__{name}__rows"
-            counters += [
-                F.coalesce(F.sum(matches), F.lit(0)).cast("long").alias(total),
-                F.count_if(matches > 0).alias(touched),
-            ]
-            lines.append(
-                F.struct(
-                    F.lit(column).alias("column_name"),
-                    F.lit(name).alias("pii_class"),
-                    F.col(touched).alias("row_count"),
-                    F.col(total).alias("match_count"),
-                )
-            )
-    return df.agg(*counters).select(F.inline(F.array(*lines)))
+    pairs = [(c, name) for c in columns for name in TEXT_PATTERNS]
+    # Counted in a step of its own, so that each pattern runs once per text.
+    counted = df.select(*[count_matches(F.col(c), n).alias(f"{c}__{n}") for c, n in pairs])
+    totals: list[Column] = []
+    for c, n in pairs:
+        found = F.col(f"{c}__{n}")
+        totals += [
+            F.coalesce(F.sum(found), F.lit(0)).cast("long").alias(f"{c}__{n}__sum"),
+            F.count_if(found > 0).alias(f"{c}__{n}__rows"),
+        ]
+    lines = ", ".join(
+        f"struct('{c}' AS column_name, '{n}' AS pii_class, `{c}__{n}__rows` AS row_count, "
+        f"`{c}__{n}__sum` AS match_count)"
+        for c, n in pairs
+    )
+    return counted.agg(*totals).selectExpr(f"inline(array({lines}))")
 
 
 def masked(df: DataFrame, policy: Mapping[str, Mapping[str, Column]], access: str) -> DataFrame:

@@ -100,17 +100,13 @@ def check(df: DataFrame, table: str, contract: Contract, fixed: Mapping[str, int
     """One line per rule: counted data rules and the already known ``fixed`` ones."""
     counted = row_checks(df, contract)
     totals = df.agg(F.count("*").alias("_rows"), *[c.alias(r) for r, c in counted.items()])
-    amounts = {r: F.col(r) for r in counted} | {r: F.lit(n).cast("long") for r, n in fixed.items()}
-    lines = [
-        F.struct(
-            F.lit(table).alias("table_name"),
-            F.lit(rule).alias("rule"),
-            (amount == 0).alias("passed"),
-            amount.alias("failing"),
-        )
+    amounts = {r: f"`{r}`" for r in counted} | {r: f"{n}L" for r, n in fixed.items()}
+    lines = ", ".join(
+        f"struct('{table}' AS table_name, '{rule}' AS rule, {amount} = 0 AS passed, "
+        f"{amount} AS failing)"
         for rule, amount in amounts.items()
-    ]
-    return totals.select(F.inline(F.array(*lines)))
+    )
+    return totals.selectExpr(f"inline(array({lines}))")
 
 
 def check_frame(df: DataFrame, table: str, contract: Contract) -> DataFrame:

@@ -40,3 +40,26 @@ def settle(spark: SparkSession, df, label: str):
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# Settings the jobs are planned for; all can be changed at run time or at start.
+RECOMMENDED = {
+    "spark.sql.session.timeZone": "UTC",
+    # Sizes are measured while running: small sides are broadcast, skewed
+    # partitions are split, small ones are joined together.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # Very wide projections (synthetic tables) run faster as several methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call sites of every column expression cost several calls to the JVM each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
+def configured(builder):
+    """A session builder with the recommended settings."""
+    for key, value in RECOMMENDED.items():
+        builder = builder.config(key, value)
+    return builder

@@ -13,7 +13,7 @@ import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierworks.functions import calendar
 
@@ -26,7 +26,9 @@ WORD_LETTERS = 6
 # Odd and not a multiple of five: multiplying by it permutes the numbers below 10^k.
 KEY_STEP = 48271
 
-Maker = Callable[[Column, int, str], Column]
+# A maker turns (seed, column name) into SQL text over the row number ``id``. Text is
+# parsed once per column, which plans wide tables much faster than nested objects.
+Maker = Callable[[int, str], str]
 
 
 def coefficients(seed: int, name: str) -> list[int]:
@@ -35,18 +37,25 @@ def coefficients(seed: int, name: str) -> list[int]:
     return [int.from_bytes(digest[i * 6 : i * 6 + 6], "big") % PRIME for i in range(5)]
 
 
-def draw(number: Column, seed: int, name: str) -> Column:
+def draw(seed: int, name: str) -> str:
     """A pseudo-random integer in [0, 2^31 - 1) for each row number."""
-    a, b, c, d, e = (F.lit(v).cast("long") for v in coefficients(seed, name))
-    p = F.lit(PRIME).cast("long")
-    low, block = F.pmod(number.cast("long"), p), F.floor(number.cast("long") / p).cast("long")
-    inner = F.pmod(F.pmod(a * low + b, p) * low + c, p)
-    return F.pmod(inner * low + F.pmod(e * block, p) + d, p)
+    a, b, c, d, e = (f"{v}L" for v in coefficients(seed, name))
+    p = f"{PRIME}L"
+    low, block = f"pmod(id, {p})", f"(id div {p})"
+    inner = f"pmod(pmod({a} * {low} + {b}, {p}) * {low} + {c}, {p})"
+    return f"pmod({inner} * {low} + pmod({e} * {block}, {p}) + {d}, {p})"
 
 
-def unit(number: Column, seed: int, name: str) -> Column:
+def unit(seed: int, name: str) -> str:
     """A pseudo-random double in [0, 1)."""
-    return draw(number, seed, name).cast("double") / F.lit(float(PRIME))
+    return f"(CAST({draw(seed, name)} AS DOUBLE) / {PRIME}D)"
+
+
+def literal(value) -> str:
+    """``value`` as SQL text."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else str(value)
 
 
 @dataclass(frozen=True)
@@ -62,10 +71,10 @@ class Field:
             raise ValueError("share must be in [0, 1]")
         return Field(self.make, self.dtype, share)
 
-    def column(self, number: Column, seed: int, name: str) -> Column:
-        value = self.make(number, seed, name).cast(self.dtype)
+    def sql(self, seed: int, name: str) -> str:
+        value = f"CAST({self.make(seed, name)} AS {self.dtype})"
         if self.null_share:
-            value = F.when(unit(number, seed, f"{name}#null") >= self.null_share, value)
+            value = f"IF({unit(seed, name + '#null')} >= {literal(float(self.null_share))}, {value}, NULL)"
         return value
 
 
@@ -74,70 +83,64 @@ def choice(values: Sequence, weights: Sequence[float] | None = None, dtype: str
     if weights is not None and len(weights) != len(values):
         raise ValueError("values and weights differ in length")
 
-    def make(number: Column, seed: int, name: str) -> Column:
+    def make(seed: int, name: str) -> str:
         if len(values) == 1:
-            return F.lit(values[0])
+            return literal(values[0])
+        number = draw(seed, name)
         if weights is None:
-            options = F.array(*[F.lit(v) for v in values])
-            return F.get(options, F.pmod(draw(number, seed, name), F.lit(len(values))))
+            options = ", ".join(literal(v) for v in values)
+            return f"get(array({options}), CAST(pmod({number}, {len(values)}) AS INT))"
         # Thresholds on the integer draw, so no rounding decides a value.
-        total, seen, branches = sum(weights), 0.0, F
+        total, seen, arms = sum(weights), 0.0, []
         for value, weight in list(zip(values, weights))[:-1]:
             seen += weight
-            bound = F.lit(int(PRIME * seen / total)).cast("long")
-            branches = branches.when(draw(number, seed, name) < bound, F.lit(value))
-        return branches.otherwise(F.lit(values[-1]))
+            arms.append(f"WHEN {number} < {int(PRIME * seen / total)} THEN {literal(value)}")
+        return f"CASE {' '.join(arms)} ELSE {literal(values[-1])} END" if arms else literal(values[-1])
 
     return Field(make, dtype)
 
 
 def positional(values: Sequence, dtype: str = "string") -> Field:
     """Values in order, round and round: lists of equal length stay in step."""
-    options = [F.lit(v) for v in values]
-    return Field(
-        lambda number, seed, name: F.get(F.array(*options), F.pmod(number, F.lit(len(values)))),
-        dtype,
-    )
+    options = ", ".join(literal(v) for v in values)
+    return Field(lambda s, c: f"get(array({options}), CAST(pmod(id, {len(values)}) AS INT))", dtype)
 
 
 def uniform(low: float, high: float, dtype: str, digits: int = 2) -> Field:
     """Whole numbers from ``low`` to ``high``, or decimals rounded to ``digits``."""
     if dtype == "int":
         width = int(high) - int(low) + 1
-        return Field(
-            lambda n, s, c: F.pmod(draw(n, s, c), F.lit(width)) + F.lit(int(low)), dtype
-        )
-    span = float(high) - float(low)
-    return Field(lambda n, s, c: F.round(unit(n, s, c) * F.lit(span) + F.lit(float(low)), digits), dtype)
+        return Field(lambda s, c: f"pmod({draw(s, c)}, {width}) + {int(low)}", dtype)
+    start, span = literal(float(low)), literal(float(high) - float(low))
+    return Field(lambda s, c: f"round({unit(s, c)} * {span} + {start}, {digits})", dtype)
 
 
 def random_date(start: str, days: int) -> Field:
     """A day from ``start`` on, fewer than ``days`` later."""
     return Field(
-        lambda n, s, c: F.date_add(F.to_date(F.lit(start)), F.pmod(draw(n, s, c), F.lit(days)).cast("int")),
-        "date",
+        lambda s, c: f"date_add(DATE '{start}', CAST(pmod({draw(s, c)}, {days}) AS INT))", "date"
     )
 
 
 def date_sequence(start: str) -> Field:
     """``start`` plus the row number in days."""
-    return Field(lambda n, s, c: F.date_add(F.to_date(F.lit(start)), n.cast("int")), "date")
+    return Field(lambda s, c: f"date_add(DATE '{start}', CAST(id AS INT))", "date")
 
 
 def time_of_day() -> Field:
     """``HH:mm:ss`` text."""
 
-    def make(number: Column, seed: int, name: str) -> Column:
-        second = F.pmod(draw(number, seed, name), F.lit(86400))
-        parts = [F.floor(second / 3600), F.pmod(F.floor(second / 60), F.lit(60)), F.pmod(second, F.lit(60))]
-        return F.concat_ws(":", *[F.lpad(p.cast("string"), 2, "0") for p in parts])
+    def make(seed: int, name: str) -> str:
+        second = f"pmod({draw(seed, name)}, 86400L)"
+        parts = [f"{second} div 3600", f"pmod({second} div 60, 60L)", f"pmod({second}, 60L)"]
+        return "concat_ws(':', " + ", ".join(f"lpad(CAST({p} AS STRING), 2, '0')" for p in parts) + ")"
 
     return Field(make)
 
 
 def expression(sql: str, dtype: str = "string") -> Field:
     """SQL over the row number ``id`` and nothing else."""
-    return Field(lambda n, s, c: F.expr(sql), dtype)
+    return Field(lambda s, c: sql, dtype)
 
 
 def _pieces(pattern: str) -> list[tuple[str, str, int]]:
@@ -160,25 +163,23 @@ def template(pattern: str) -> Field:
     r"""Text with ``\d`` for a digit, ``\w`` for a letter, ``\w+`` for a word."""
     pieces = _pieces(pattern)
 
-    def make(number: Column, seed: int, name: str) -> Column:
-        parts: list[Column] = []
+    def make(seed: int, name: str) -> str:
+        parts: list[str] = []
         for i, (kind, text, length) in enumerate(pieces):
             if kind == "literal":
-                parts.append(F.lit(text))
+                parts.append(literal(text))
                 continue
-            step = DIGITS_PER_DRAW if kind == "digits" else LETTERS_PER_DRAW
+            base, step = (10, DIGITS_PER_DRAW) if kind == "digits" else (26, LETTERS_PER_DRAW)
             for start in range(0, length, step):
                 size = min(step, length - start)
-                value = draw(number, seed, f"{name}#{i}.{start}")
+                number = f"CAST(pmod({draw(seed, f'{name}#{i}.{start}')}, {base**size}L) AS STRING)"
                 if kind == "digits":
-                    rest = F.pmod(value, F.lit(10**size)).cast("string")
-                    parts.append(F.lpad(rest, size, "0"))
+                    parts.append(f"lpad({number}, {size}, '0')")
                 else:
                     # The number in base 26, its digits written as letters.
-                    rest = F.pmod(value, F.lit(26**size)).cast("string")
-                    digits = F.lpad(F.conv(rest, 10, 26), size, "0")
-                    parts.append(F.translate(digits, BASE_26, LETTERS))
-        return F.concat(*parts)
+                    digits = f"lpad(conv({number}, 10, 26), {size}, '0')"
+                    parts.append(f"translate({digits}, '{BASE_26}', '{LETTERS}')")
+        return f"concat({', '.join(parts)})"
 
     return Field(make)
 
@@ -190,12 +191,12 @@ class Key:
     prefix: str
     digits: int
 
-    def of(self, number: Column) -> Column:
-        mixed = F.pmod(number.cast("long") * KEY_STEP + 7, F.lit(10**self.digits).cast("long"))
-        return F.concat(F.lit(self.prefix), F.lpad(mixed.cast("string"), self.digits, "0"))
+    def of(self, number: str = "id") -> str:
+        mixed = f"pmod({number} * {KEY_STEP}L + 7L, {10**self.digits}L)"
+        return f"concat({literal(self.prefix)}, lpad(CAST({mixed} AS STRING), {self.digits}, '0'))"
 
     def field(self) -> Field:
-        return Field(lambda n, s, c: self.of(n))
+        return Field(lambda s, c: self.of())
 
     def check(self, rows: int) -> None:
         if rows > 10**self.digits:
@@ -204,7 +205,7 @@ class Key:
 
 def foreign_key(parent: Key, parent_rows: int) -> Field:
     """A key of one of the parent's rows, so every child has a parent."""
-    return Field(lambda n, s, c: parent.of(F.pmod(draw(n, s, c), F.lit(parent_rows).cast("long"))))
+    return Field(lambda s, c: parent.of(f"pmod({draw(s, c)}, {parent_rows}L)"))
 
 
 Spec = Mapping[str, Field]
@@ -216,8 +217,7 @@ def columns(df: DataFrame, number: str, spec: Spec, seed: int = 0, label: str =
     ``label``, a table's name, keeps equally named columns of two tables apart.
     """
     keyed = df.select(F.col(number).cast("long").alias("id"))
-    made = [f.column(F.col("id"), seed, f"{label}.{c}").alias(c) for c, f in spec.items()]
-    return keyed.select(*made)
+    return keyed.selectExpr(*[f"{f.sql(seed, f'{label}.{c}')} AS {c}" for c, f in spec.items()])
 
 
 def table(
