@@ -6,9 +6,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierworks.checks import tables as tb
+from tierworks.checks import tables as tb, text_queries as tq
 from tierworks.checks.tables import AS_OF, RUN_TS, audit_sql, with_views
 from tierworks.checks.tables_queries import ORACLE as TABLE_ORACLE
+from tierworks.checks.text_queries import ORACLE as TEXT_ORACLE
 from tierworks.functions import calendar
 from tierworks.operators import changes
 from tierworks.plans import audit, products as pr
@@ -212,6 +213,84 @@ def medallion(spark, sf) -> Medallion:
     return tables
 
 
+def _review_tables(spark, sf) -> Medallion:
+    """Mirrored documents, streamed to bronze, enriched to silver, counted to gold."""
+    name = f"voice_{uuid.uuid4().hex}"
+    tables = Medallion(spark, name, fresh_path(spark, name))
+    candidates = ["no_such_catalog.{table}", f"parquet.`{sf}/{{table}}`"]
+    mirror.tables(spark, [("documents.parquet", "customer_reviews")], candidates, name,
+                  required=["customer_reviews"])
+    common = {"data_owner": "dsml", "domain": "customer_voice"}
+    key_doc = {"review_id": "Unique review identifier from customer_reviews"}
+
+    def arriving(t: Medallion) -> DataFrame:
+        raw = readers.stream_table(spark, t.table("customer_reviews"))
+        return pr.bronze_reviews(tb.as_reviews(raw), "voice_of_customer", RUN_TS)
+
+    tables.streaming(
+        "bronze_reviews", arriving,
+        Governance("bronze", "Raw reviews ingested from customer_reviews", **common, docs=key_doc,
+                   streaming=True),
+    )
+    tables.materialized(
+        "silver_review_sentiment",
+        lambda t: pr.silver_review_sentiment(
+            readers.spread(t.ref("bronze_reviews")), "voice_of_customer", RUN_TS, tq.LEXICON,
+            tq.TAXONOMY, tq.FIELDS,
+        ),
+        Governance("silver", "Reviews with sentiment, topic and entities from bronze_reviews",
+                   **common, docs=key_doc, tags={"ai_generated": "true"}),
+        expectations=pr.review_expectations(tq.TAXONOMY),
+        key=["review_id"],
+    )
+    tables.materialized(
+        "gold_review_topics_by_franchise",
+        lambda t: pr.gold_review_topics_by_franchise(
+            t.ref("silver_review_sentiment"), tb.franchises(spark, sf), RUN_TS
+        ),
+        Governance("gold", "Business aggregation: review mood by franchise and topic", **common),
+    )
+    return tables
+
+
+def bronze_reviews_stream(spark, sf):
+    tables = _review_tables(spark, sf)
+    tables.run("bronze_reviews")
+    return tables.ref("bronze_reviews")
+
+
+def review_tables_refresh(spark, sf):
+    tables = _review_tables(spark, sf)
+    tables.run()
+    return tables.ref("gold_review_topics_by_franchise")
+
+
+def account_tables_refresh(spark, sf):
+    """Accounts and products through all layers, clustered by what gold reads."""
+    tables = medallion(spark, sf)
+    common = {"data_owner": "data-engineering", "domain": "accounts"}
+    held, sold = tb.accounts(spark, sf), tb.products(spark, sf)
+    for layer, name, build, options in [
+        ("bronze", "accounts", lambda t: pr.bronze(held, ["account_id"], "core_banking", RUN_TS), {}),
+        ("bronze", "products", lambda t: pr.bronze(sold, ["product_id"], "catalog", RUN_TS), {}),
+        ("silver", "accounts",
+         lambda t: pr.silver_accounts(t.ref("bronze_accounts"), "core_banking", RUN_TS),
+         {"expectations": pr.ACCOUNT_EXPECTATIONS, "cluster_by": ["customer_id"]}),
+        ("silver", "products",
+         lambda t: pr.silver_products(t.ref("bronze_products"), "catalog", RUN_TS),
+         {"expectations": pr.PRODUCT_EXPECTATIONS, "key": ["product_id"], "track": True}),
+        ("gold", "account_summary",
+         lambda t: pr.gold_account_summary(
+             t.ref("silver_customers"), t.ref("silver_accounts"), t.ref("silver_products"), RUN_TS),
+         {}),
+    ]:
+        governance = Governance(layer, f"{layer} {name.replace('_', ' ')} of the bank", **common)
+        tables.materialized(f"{layer}_{name}", build, governance, **options)
+    tables.run("bronze_customers", "silver_customers", "bronze_accounts", "bronze_products",
+               "silver_accounts", "silver_products", "gold_account_summary")
+    return tables.ref("gold_account_summary")
+
+
 CONTRACTS = {
     "bronze_customers": audit.Contract("bronze", ["customer_id"]),
     "silver_customers": audit.Contract(
@@ -259,7 +338,8 @@ QUERIES = {
     for f in (
         change_feed, change_feed_bucketed, change_replay, row_tracking, cdc_apply, cdc_apply_stream,
         bronze_events_stream, dedupe_replay, incremental_consume, csv_round_trip, clustered_write,
-        file_inventory, mirror_tables, mirror_verify, medallion_refresh, table_audit, frame_audit,
+        file_inventory, mirror_tables, mirror_verify, medallion_refresh, bronze_reviews_stream,
+        review_tables_refresh, account_tables_refresh, table_audit, frame_audit,
         column_profile, date_dimension,
     )
 }
@@ -354,6 +434,9 @@ ORACLE = {
            UNION ALL SELECT 'franchises', count(*) FROM supplier
            UNION ALL SELECT 'transactions', count(*) FROM orders""",
     "medallion_refresh": TABLE_ORACLE["gold_customer_segments"],
+    "bronze_reviews_stream": TABLE_ORACLE["bronze_reviews"],
+    "review_tables_refresh": TEXT_ORACLE["gold_review_topics_by_franchise"],
+    "account_tables_refresh": TABLE_ORACLE["gold_account_summary"],
     "table_audit": _audit_sql(),
     "frame_audit": " UNION ALL ".join([
         _rule_sql("LineItem", "snake_case_names", "1"), _rule_sql("LineItem", "layer_prefix", "1"),

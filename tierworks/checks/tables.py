@@ -68,19 +68,23 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("review_id"),
-        (F.col("doc_id") * 7).alias("customer_id"),
-        F.col("source").alias("franchise_id"),
-        F.col("lang").alias("product_id"),
-        F.col("text").alias("review_text"),
-        F.date_format(
-            F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 31).cast("int")), "yyyy-MM-dd"
-        ).alias("review_date"),
+def as_reviews(documents: DataFrame) -> DataFrame:
+    """Documents, batch or stream, in the shape of customer reviews."""
+    return documents.selectExpr(
+        "doc_id AS review_id",
+        "doc_id * 7 AS customer_id",
+        "source AS franchise_id",
+        "lang AS product_id",
+        "text AS review_text",
+        """date_format(date_add(DATE '2024-01-01', CAST(doc_id % 31 AS INT)), 'yyyy-MM-dd')
+           AS review_date""",
     )
 
 
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_reviews(read(spark, sf_dir, "documents"))
+
+
 def franchises(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = read(spark, sf_dir, "documents").select("source").distinct()
     return names.select(

@@ -35,13 +35,6 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(spark: SparkSession, df, label: str):
-    """Write ``df`` once and go on from the files: cuts lineage, survives executor loss."""
-    path = fresh_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 # Settings the jobs are planned for; all can be changed at run time or at start.
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
