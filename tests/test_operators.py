@@ -119,6 +119,11 @@ def test_gold_guard():
         personal_data.check_gold(["source_text"])
 
 
+def test_small_groups_can_be_hidden(spark):
+    df = spark.createDataFrame([("a", 2), ("b", 5)], "g string, n int")
+    assert rows(personal_data.suppress_small_groups(df, "n", 3)) == [("b", 5)]
+
+
 # --- joins and aggregates ------------------------------------------------------
 
 def test_spreading_a_hot_key_changes_nothing(spark):

@@ -101,6 +101,29 @@ def test_feed_and_tracking_across_refreshes(spark, tables):
     assert tables.ref("silver_customers").columns[-2:] == ["audit_timestamp", "source_system"]
 
 
+def test_death_between_feed_and_publishing_is_repaired(spark, tables, monkeypatch):
+    from tierworks.plans import refresh
+
+    data = [[(1, "", 1.0)]]
+    declare_silver(tables, lambda: customers(spark, data[0]), feed=True)
+    tables.run()
+    data[0] = [(1, "", 2.0)]
+
+    def dies(*args):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(refresh, "attach", dies)
+        with pytest.raises(RuntimeError):
+            tables.run()
+    assert rows(tables.ref("silver_customers").select("balance")) == [(1.0,)]
+    tables.run()
+    feed = spark.read.parquet(tables.feed_path("silver_customers"))
+    assert rows(feed.select("balance", "_change_type", "version")) == [
+        (1.0, "update_preimage", 2), (2.0, "update_postimage", 2)
+    ]
+
+
 def test_retention_is_applied_on_refresh(spark, tables):
     df = spark.createDataFrame([(1, datetime.date(2024, 1, 1)), (2, datetime.date(2024, 3, 1))], "id int, day date")
     tables.materialized(

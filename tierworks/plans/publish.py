@@ -118,12 +118,17 @@ def stage(
 
 
 def attach(
-    spark: SparkSession, table: str, path: str, schema: StructType, governance: Governance
+    spark: SparkSession,
+    table: str,
+    path: str,
+    schema: StructType,
+    governance: Governance,
+    extra: Mapping[str, str] | None = None,
 ) -> None:
     """Point ``table`` at ``path`` and write comment, properties and descriptions."""
     columns = schema.names
     comment = governance.table_comment(columns)
-    properties = governance.table_properties(columns)
+    properties = governance.table_properties(columns) | dict(extra or {})
     docs = governance.column_docs(columns)
     if spark.catalog.tableExists(table) and _same_columns(spark.table(table).schema, schema):
         spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(path)}")
@@ -154,3 +159,9 @@ def _same_columns(left: StructType, right: StructType) -> bool:
 
 def read_properties(spark: SparkSession, table: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def read_location(spark: SparkSession, table: str) -> str:
+    """The folder ``table`` points at."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    return described.first()["data_type"].rstrip("/")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -9,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tierworks.operators import changes, quality, shape
-from tierworks.plans.publish import Governance, attach, read_properties, stage
+from tierworks.plans.publish import Governance, attach, read_location, stage
 from tierworks.session import shared_folder
 from tierworks.sources.sinks import clustered
 from tierworks.streaming import bronze
@@ -31,6 +32,12 @@ class Dataset:
     run_date: str | None = None
 
 
+def folder_version(location: str) -> int:
+    """Version number in the name of a staged folder, 0 for any other folder."""
+    match = re.search(r"/v([0-9]+)-[0-9a-f]{32}$", location)
+    return int(match.group(1)) if match else 0
+
+
 class Medallion:
     """Tables of one database below one shared folder, refreshed in the order declared.
 
@@ -96,7 +103,8 @@ class Medallion:
     def _refresh(self, dataset: Dataset) -> dict:
         table = self.table(dataset.name)
         exists = self.spark.catalog.tableExists(table)
-        version = int(read_properties(self.spark, table).get("version", 0)) + 1 if exists else 1
+        # The folder's name carries the version, so both change in one step.
+        version = folder_version(read_location(self.spark, table)) + 1 if exists else 1
         df = dataset.build(self)
         governance = dataset.governance
         tail = shape.AUDIT_COLUMNS
@@ -113,8 +121,7 @@ class Medallion:
         counts = stage(df, path, dataset.expectations)
         if dataset.feed and exists:
             self._write_feed(dataset, path, df, version)
-        attach(self.spark, table, path, df.schema, governance)
-        self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('version' = '{version}')")
+        attach(self.spark, table, path, df.schema, governance, {"version": str(version)})
         return {"table": dataset.name, "path": path, "version": version, **counts}
 
     def _tracked(self, dataset: Dataset, df: DataFrame, version: int, exists: bool) -> DataFrame:
@@ -134,7 +141,9 @@ class Medallion:
             return  # a changed layout starts a new feed
         ignored = [*shape.AUDIT_COLUMNS, "row_version"]
         feed = changes.diff(before, after, dataset.key, ignore=ignored)
-        # One folder per version: a repeated refresh replaces its own part of the feed.
+        # One folder per version: a refresh that died before it published is repeated
+        # under the same number and replaces its part of the feed. The feed comes before
+        # the table, so consumers may see a change twice after such a death, never miss one.
         feed.write.mode("overwrite").parquet(
             f"{self.feed_path(dataset.name)}/version={version}"
         )
