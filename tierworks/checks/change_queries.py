@@ -333,6 +333,32 @@ def date_dimension(spark, sf):
     )
 
 
+def bronze_date_dimensions(spark, sf):
+    """The calendar as a CSV directory, read back with its schema into bronze."""
+    path = fresh_path(spark, "dates")
+    days = date_dimension(spark, sf)
+    sinks.csv(days, path)
+    landed = readers.csv(spark, path, days.schema)
+    return pr.bronze(landed, ["full_date"], "calendar", RUN_TS)
+
+
+def pii_table_labels(spark, sf):
+    """What the published customer table says about its personal data."""
+    tables = medallion(spark, sf)
+    tables.run("bronze_customers")
+    name = tables.table("bronze_customers")
+    shown = ("quality", "data_owner", "domain", "contains_pii", "pii_columns")
+    properties = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key").isin(*shown))
+    published = spark.table(name)
+    notes = [(f.name, f.metadata["comment"]) for f in published.schema.fields
+             if "[PII" in f.metadata.get("comment", "")]
+    described = [("comment", spark.catalog.getTable(name).description), *notes]
+    said = properties.unionAll(spark.createDataFrame(described, properties.schema))
+    filled = ", ".join(f"struct('{c}' AS key, count({c}) AS filled)" for c, _ in notes)
+    counted = published.selectExpr(f"array({filled}) AS columns").selectExpr("inline(columns)")
+    return said.join(counted, "key", "left")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -340,7 +366,7 @@ QUERIES = {
         bronze_events_stream, dedupe_replay, incremental_consume, csv_round_trip, clustered_write,
         file_inventory, mirror_tables, mirror_verify, medallion_refresh, bronze_reviews_stream,
         review_tables_refresh, account_tables_refresh, table_audit, frame_audit,
-        column_profile, date_dimension,
+        column_profile, date_dimension, bronze_date_dimensions, pii_table_labels,
     )
 }
 
@@ -393,6 +419,25 @@ def _audit_sql() -> str:
     return " UNION ALL ".join(lines)
 
 
+_PERSONAL = {
+    "first_name": "NAME - MEDIUM", "last_name": "NAME - MEDIUM", "email": "EMAIL - HIGH",
+    "phone": "PHONE - HIGH", "date_of_birth": "DOB - MEDIUM", "credit_score": "FINANCIAL - HIGH",
+    "annual_income": "FINANCIAL - HIGH",
+}
+_CALENDAR = """SELECT CAST(d AS VARCHAR) AS full_date, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key,
+           year(d) AS calendar_year, quarter(d) AS calendar_quarter,
+           'Q' || quarter(d) || ' ' || year(d) AS calendar_quarter_name,
+           month(d) AS month_number, strftime(d, '%B') AS month_name, strftime(d, '%b') AS month_short,
+           strftime(d, '%Y-%m') AS year_month, week(d) AS week_of_year, day(d) AS day_of_month,
+           dayofweek(d) + 1 AS day_of_week_number, strftime(d, '%A') AS day_of_week_name,
+           strftime(d, '%a') AS day_of_week_short,
+           CASE WHEN month(d) >= 4 THEN year(d) ELSE year(d) - 1 END AS fiscal_year,
+           CAST(floor(((month(d) + 8) % 12) / 3) AS INTEGER) + 1 AS fiscal_quarter,
+           CASE WHEN dayofweek(d) IN (0, 6) THEN 'Y' ELSE 'N' END AS is_weekend,
+           CASE WHEN last_day(d) = d THEN 'Y' ELSE 'N' END AS is_month_end,
+           CASE WHEN month(d) = 12 AND day(d) = 31 THEN 'Y' ELSE 'N' END AS is_year_end,
+           order_count
+           FROM (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS order_count FROM orders GROUP BY 1)"""
 _PROFILE = " UNION ALL ".join(
     f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
         count(DISTINCT {c}) AS distinct_count, CAST(min({c}) AS VARCHAR) AS min_value,
@@ -450,19 +495,13 @@ ORACLE = {
                   "count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N'))", "FROM lineitem"),
     ]),
     "column_profile": _PROFILE,
-    "date_dimension":
-        """SELECT CAST(d AS VARCHAR) AS full_date, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key,
-           year(d) AS calendar_year, quarter(d) AS calendar_quarter,
-           'Q' || quarter(d) || ' ' || year(d) AS calendar_quarter_name,
-           month(d) AS month_number, strftime(d, '%B') AS month_name, strftime(d, '%b') AS month_short,
-           strftime(d, '%Y-%m') AS year_month, week(d) AS week_of_year, day(d) AS day_of_month,
-           dayofweek(d) + 1 AS day_of_week_number, strftime(d, '%A') AS day_of_week_name,
-           strftime(d, '%a') AS day_of_week_short,
-           CASE WHEN month(d) >= 4 THEN year(d) ELSE year(d) - 1 END AS fiscal_year,
-           CAST(floor(((month(d) + 8) % 12) / 3) AS INTEGER) + 1 AS fiscal_quarter,
-           CASE WHEN dayofweek(d) IN (0, 6) THEN 'Y' ELSE 'N' END AS is_weekend,
-           CASE WHEN last_day(d) = d THEN 'Y' ELSE 'N' END AS is_month_end,
-           CASE WHEN month(d) = 12 AND day(d) = 31 THEN 'Y' ELSE 'N' END AS is_year_end,
-           order_count
-           FROM (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS order_count FROM orders GROUP BY 1)""",
+    "date_dimension": _CALENDAR,
+    "bronze_date_dimensions": f"SELECT *, {audit_sql('calendar')} FROM ({_CALENDAR})",
+    "pii_table_labels": with_views(f"""SELECT key, value, CAST(NULL AS BIGINT) AS filled FROM (VALUES
+        ('quality', 'bronze'), ('data_owner', 'data-engineering'), ('domain', 'customer'),
+        ('contains_pii', 'true'), ('pii_columns', '{",".join(_PERSONAL)}'),
+        ('comment', 'Raw customer data ingested from crm_system - CONTAINS PII: {", ".join(_PERSONAL)}')
+        ) AS t(key, value) UNION ALL """ + " UNION ALL ".join(
+            f"SELECT '{c}', '[PII: {k}]', count({c}) FROM customers" for c, k in _PERSONAL.items()
+        ), "customers"),
 }

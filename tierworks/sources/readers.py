@@ -20,8 +20,10 @@ def spread(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:  # counted from the scan's plan, runs no job
+        return df
     files = df.inputFiles()
-    if not files or len(files) >= cores:
+    if not files:
         return df
     split = 128 * 1024 * 1024
     listed = spark.read.format("binaryFile").load(files)
