@@ -69,10 +69,14 @@ class Expectation:
         if self.action not in ACTIONS:
             raise ValueError(f"action must be one of {ACTIONS}, not {self.action!r}")
 
+    @property
+    def condition(self) -> Column:
+        return F.expr(self.predicate) if isinstance(self.predicate, str) else self.predicate
+
     @property
     def holds(self) -> Column:
-        condition = F.expr(self.predicate) if isinstance(self.predicate, str) else self.predicate
-        return F.coalesce(condition, F.lit(False))
+        """True or false, never NULL."""
+        return F.coalesce(self.condition, F.lit(False))
 
 
 def expect(name: str, predicate: str | Column, action: str = "drop") -> Expectation:
@@ -90,10 +94,13 @@ def expect_sentiment(column: str = "sentiment_label") -> Expectation:
 
 
 def dropped(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
-    """Rows left after the ``drop`` expectations."""
+    """Rows left after the ``drop`` expectations.
+
+    A filter drops NULL by itself; the bare condition can reach the file scan.
+    """
     for e in expectations:
         if e.action == "drop":
-            df = df.filter(e.holds)
+            df = df.filter(e.condition)
     return df
 
 
