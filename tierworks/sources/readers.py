@@ -16,7 +16,8 @@ def spread(df: DataFrame) -> DataFrame:
 
     A table that fits into one scan split per core (its files are measured first) may
     still lie in fewer row groups than there are cores; only such a table is
-    redistributed. Larger ones are returned as they are, without a shuffle.
+    redistributed. Tables with enough splits or files are returned as they are,
+    without a shuffle.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
