@@ -59,5 +59,6 @@ def test_file_inventory(spark):
 
 def test_entry_points(spark):
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == {"file_inventory"}
+    assert set(checks.queries()) <= set(entry_points.queries())
+    assert set(checks.queries()) - set(entry_points.oracle_sql()) == {"file_inventory"}
     assert entry_points.entry(spark).count() > 0
