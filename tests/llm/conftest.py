@@ -1,0 +1,8 @@
+import random
+
+import pytest
+
+
+@pytest.fixture
+def rng():
+    return random.Random(11)

@@ -55,9 +55,9 @@ NOTICES = [
               "License"),
 ]
 
-# A diagonal counts from this share of a template's pairs, diagonals this close are
-# merged, and a span is a license if it covers this share of them.
-MIN_VOTES = 0.3
+# A diagonal counts from this many votes (or all pairs of a shorter template), diagonals
+# this close are merged, and a span is a license if it covers this share of the pairs.
+MIN_VOTES = 2
 NEIGHBOUR = 3
 MIN_COVER = 0.7
 
@@ -131,7 +131,7 @@ def spans(found: DataFrame) -> DataFrame:
     )
     votes = F.size("covered")
     enough = F.when(F.col("is_base"), votes == F.col("grams")).otherwise(
-        votes >= F.greatest(F.lit(1.0), F.col("grams") * MIN_VOTES)
+        votes >= F.least(F.col("grams"), F.lit(MIN_VOTES))
     )
     voted = voted.filter(F.col("template").isNull() | enough)
     along = Window.partitionBy("row_no", "template").orderBy("diagonal")
