@@ -112,10 +112,10 @@ def judged(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str =
     words = F.array_distinct(F.split(F.lower("target"), SEPARATORS))
     tokens = staged(parts.withColumn("tokens", words), "url-tokens")
 
-    needed = rules.select(F.explode("tokens").alias("token")).distinct()
+    # Combined where it is read, so that a token in every url is no hot key of the join.
     seen = (
         tokens.select("copies", F.explode("tokens").alias("token"))
-        .join(needed, "token").groupBy("token").agg(F.sum("copies").alias("seen"))
+        .groupBy("token").agg(F.sum("copies").alias("seen"))
     )
     rarest = (
         rules.select("name", F.explode("tokens").alias("token"))
