@@ -23,6 +23,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tierworks.llm.common import staged
+
 GRAM = 2
 # Words are runs of ASCII digits, letters (upper-case ones lower-cased) and all other
 # characters beyond ASCII; every other byte of the UTF-8 text becomes a space.
@@ -146,7 +148,9 @@ def hits(df: DataFrame, templates: DataFrame, text: str = "text", key: str = "do
         F.col(key).cast("long").alias("doc_id"),
         F.col(text).alias("text"),
     ).mapInArrow(_rolled, "row_no long, doc_id long, n_words long, pos long, hash long")
-    return rolled.join(templates.unionByName(mark), "hash").withColumn(
+    # Read from a file the templates have a known size: a short list is broadcast.
+    known = staged(templates.unionByName(mark), "license-templates")
+    return rolled.join(known, "hash").withColumn(
         "diagonal", F.col("pos") - F.col("at")
     )
 
