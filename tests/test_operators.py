@@ -239,15 +239,25 @@ def test_sentiment(spark):
                       7: "neutral", 8: None}
 
 
-def test_lexicon_table_gives_the_same_labels_both_ways(spark):
-    df = spark.createDataFrame(REVIEWS, "id int, text string")
+def test_lexicon_table_gives_the_same_labels(spark):
+    df = spark.createDataFrame([*REVIEWS, *REVIEWS], "id int, text string")
     pairs = [(w, "positive") for w in enrich.DEFAULT_LEXICON.positive]
-    pairs += [(w, "negative") for w in enrich.DEFAULT_LEXICON.negative]
-    lexicon = spark.createDataFrame(pairs, "term string, polarity string")
-    inline = enrich.sentiment_by_table(df, "id", "text", lexicon)
-    joined = enrich.sentiment_by_table(df, "id", "text", lexicon, inline_limit=3)
-    expected = rows(enrich.sentiment(df, "text"))
-    assert rows(inline) == expected and rows(joined.select(df.columns + ["sentiment_label"])) == expected
+    pairs += [(w.upper(), "negative") for w in enrich.DEFAULT_LEXICON.negative]
+    lexicon = spark.createDataFrame(pairs * 3, "term string, polarity string")
+    found = enrich.sentiment_by_table(df, "text", lexicon)
+    assert found.columns == [*df.columns, "sentiment_label"]
+    assert rows(found) == rows(enrich.sentiment(df, "text"))
+
+
+def test_taxonomy_and_names_as_tables(spark):
+    df = spark.createDataFrame(REVIEWS, "id int, text string")
+    entries = [(t, label, i) for i, (label, terms) in enumerate(enrich.TOPIC_TERMS.items()) for t in terms]
+    taxonomy = spark.createDataFrame(entries, "term string, label string, precedence int")
+    assert rows(enrich.classify_by_table(df, "text", taxonomy)) == rows(enrich.classify(df, "text"))
+    names = spark.createDataFrame([("staff",), ("cake",)], "term string")
+    inline = enrich.extract(df, "text", {"n": ["staff", "cake"]}).select("id", "extracted_entities.n")
+    table = enrich.extract_by_table(df, "text", names, "n").select("id", "n")
+    assert rows(table) == rows(inline)
 
 
 def test_classify(spark):

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tierworks import checks
+from tierworks.sources import readers
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = [
@@ -50,7 +51,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_file_inventory(spark):
-    [line] = checks.queries()["file_inventory"](spark, SF_DIR).collect()
+    [line] = readers.file_inventory(spark, SF_DIR, "*.parquet").collect()
     sizes = [os.path.getsize(f"{SF_DIR}/{t}.parquet") for t in TABLES]
     assert line["directory"] == os.path.basename(SF_DIR)
     assert line["file_count"] == len(TABLES)
@@ -60,5 +61,5 @@ def test_file_inventory(spark):
 def test_entry_points(spark):
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
     assert set(checks.queries()) <= set(entry_points.queries())
-    assert set(checks.queries()) - set(entry_points.oracle_sql()) == {"file_inventory"}
+    assert set(checks.queries()) <= set(entry_points.oracle_sql())
     assert entry_points.entry(spark).count() > 0

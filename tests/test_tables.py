@@ -9,7 +9,7 @@ from tierworks.operators import quality
 from tierworks.plans import audit, products as pr
 from tierworks.plans.publish import Governance, read_properties
 from tierworks.plans.refresh import Medallion
-from tierworks.session import fresh_path
+from tierworks.session import fresh_path, subfolders
 from tierworks.sources import financial, mirror, readers, sinks, synth
 from tierworks.streaming import bronze as stream_bronze, changes as stream_changes
 
@@ -95,7 +95,8 @@ def test_feed_and_tracking_across_refreshes(spark, tables):
     tables.run()
     feed = spark.read.parquet(tables.feed_path("silver_customers"))
     kinds = rows(feed.select("customer_id", "_change_type", "version"))
-    assert kinds == [(2, "update_postimage", 2), (2, "update_preimage", 2), (3, "insert", 2)]
+    assert kinds == [(1, "insert", 1), (2, "insert", 1), (2, "update_postimage", 2),
+                     (2, "update_preimage", 2), (3, "insert", 2)]
     versions = rows(tables.ref("silver_customers").select("customer_id", "row_version"))
     assert versions == [(1, 1), (2, 2), (3, 2)]
     assert tables.ref("silver_customers").columns[-2:] == ["audit_timestamp", "source_system"]
@@ -120,10 +121,65 @@ def test_death_between_feed_and_publishing_is_repaired(spark, tables, monkeypatc
     tables.run()
     feed = spark.read.parquet(tables.feed_path("silver_customers"))
     assert rows(feed.select("balance", "_change_type", "version")) == [
-        (1.0, "update_preimage", 2), (2.0, "update_postimage", 2)
+        (1.0, "insert", 1), (1.0, "update_preimage", 2), (2.0, "update_postimage", 2)
     ]
 
 
+def test_feed_and_tracking_take_a_new_column(spark, tables):
+    def build(df):
+        return lambda t: pr.add_audit(df.withColumn("data_quality_flag", F.lit("CLEAN")), "crm", TS)
+
+    governance = Governance("silver", "Cleaned items", **COMMON)
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    second = spark.createDataFrame([(1, "a", 5), (3, "c", None)], "id int, v string, extra int")
+    for df in (first, second):
+        tables.materialized("silver_items", build(df), governance, key=["id"], track=True)
+        tables.run()
+    feed = tables.changes("silver_items")
+    assert rows(feed.select("id", "_change_type", "version", "extra")) == rows(spark.createDataFrame(
+        [(1, "insert", 1, None), (2, "insert", 1, None), (1, "update_preimage", 2, None),
+         (1, "update_postimage", 2, 5), (2, "delete", 2, None), (3, "insert", 2, None)],
+        "id int, k string, v int, e int"))
+    assert rows(tables.ref("silver_items").select("id", "row_version")) == [(1, 2), (3, 2)]
+    properties = read_properties(spark, tables.table("silver_items"))
+    assert properties["change_feed"] == properties["row_tracking"] == "true"
+
+
+def test_properties_are_only_stated_when_true(spark, tables):
+    df = spark.createDataFrame([(1, 2.0)], "id int, amount double")
+    for properties in ({"sla": "daily"}, {}):
+        tables.materialized(
+            "gold_sums", lambda t: pr.add_audit(df, "gold_aggregation", TS),
+            Governance("gold", "Sums", **COMMON, properties=properties,
+                       tags={"sla": "1d"} if properties else {},
+                       docs={"amount": "Sum"} if properties else {}))
+        tables.run()
+    said = read_properties(spark, tables.table("gold_sums"))
+    assert not {"change_feed", "row_tracking", "sla", "tag.sla"} & set(said)
+    assert not tables.ref("gold_sums").schema["amount"].metadata.get("comment")
+
+
+def test_gold_values_are_guarded(spark, tables):
+    df = spark.createDataFrame([("write to anna@example.org",)], "note string")
+    tables.materialized("gold_notes", lambda t: pr.add_audit(df, "gold_aggregation", TS),
+                        Governance("gold", "Notes", **COMMON))
+    with pytest.raises(quality.ExpectationFailed):
+        tables.run()
+    assert not spark.catalog.tableExists(tables.table("gold_notes"))
+
+
+def test_vacuum_spares_the_live_folder(spark, tables):
+    data = [[(1, "", 1.0)]]
+    declare_silver(tables, lambda: customers(spark, data[0]), cluster_by=["balance"])
+    for k in range(4):
+        data[0] = [(1, "", float(k))]
+        tables.run()
+    assert len(tables.vacuum(keep=2)) == 2 and tables.vacuum(keep=2) == []
+    assert rows(tables.ref("silver_customers").select("balance")) == [(3.0,)]
+    assert len(tables.vacuum(keep=0)) == 1
+    assert rows(tables.ref("silver_customers").select("balance")) == [(3.0,)]
+
+
 def test_retention_is_applied_on_refresh(spark, tables):
     df = spark.createDataFrame([(1, datetime.date(2024, 1, 1)), (2, datetime.date(2024, 3, 1))], "id int, day date")
     tables.materialized(
@@ -216,7 +272,13 @@ def test_streaming_table_takes_only_new_files(spark, tables, folder):
     tables.run()
     assert rows(tables.ref("bronze_reviews").select("review_id")) == [(1,), (3,)]
     properties = read_properties(spark, tables.table("bronze_reviews"))
-    assert properties["row_tracking"] == "true"
+    assert "row_tracking" not in properties and properties["quality"] == "bronze"
+
+
+def test_streams_do_not_promise_retention(tables):
+    with pytest.raises(ValueError):
+        tables.streaming("bronze_s", lambda t: None,
+                         Governance("bronze", "Raw", **COMMON, streaming=True, retention_days=3))
 
 
 def test_stream_over_a_table(spark, tables, folder):
@@ -253,6 +315,29 @@ def test_changes_over_several_batches(spark, folder):
     assert rows(run()) == [(1, "x", 2)]
 
 
+def test_a_late_change_does_not_bring_a_deleted_row_back(spark, folder):
+    schema = "k int, v string, seq int, _change_type string"
+    initial = spark.createDataFrame([(k, "old") for k in range(40)], "k int, v string")
+
+    def send(*lines):
+        spark.createDataFrame(list(lines), schema).write.mode("append").parquet(f"{folder}/log")
+        stream = readers.stream_files(spark, f"{folder}/log", schema)
+        return dict(rows(stream_changes.apply_stream(
+            stream, initial, f"{folder}/target", f"{folder}/check", "k", "seq", buckets=8)))
+
+    def files():
+        return {r["path"].split("/target/")[1] for r in spark.read.format("binaryFile").option(
+            "recursiveFileLookup", True).load(f"{folder}/target/version=0").select("path").collect()}
+
+    found = send((1, None, 5, "delete"), (2, "new", 5, "update_postimage"))
+    assert 1 not in found and found[2] == "new" and found[3] == "old" and len(found) == 39
+    before = files()
+    assert send((1, "late", 3, "insert"), (2, "late", 4, "update_postimage")) == found
+    assert files() == before
+    assert len(subfolders(spark, f"{folder}/target/version=1")) <= 2
+    assert send((1, "again", 6, "insert")) == found | {1: "again"}
+
+
 # --- sources -------------------------------------------------------------------------
 
 def test_synthetic_tables_have_their_sizes_and_parents(spark):
@@ -342,18 +427,33 @@ def test_mirror_needs_a_source_and_its_required_tables(spark, folder):
     assert rows(mirror.verify(spark, "mirror_t")) == [("a", 3)]
 
 
+def test_a_failing_copy_leaves_the_last_good_one(spark, folder):
+    spark.sql(f"CREATE DATABASE mirror_f LOCATION '{folder}/db'")
+    spark.range(5).createOrReplaceTempView("mirror_source_a")
+    assert mirror.tables(spark, [("a", "a")], ["mirror_source_{table}"], "mirror_f").first()["status"] == "copied"
+    stop = F.raise_error(F.lit("broken")).cast("long")
+    broken = spark.range(9).select(F.when(F.col("id") == 7, stop).otherwise(F.col("id")).alias("id"))
+    broken.createOrReplaceTempView("mirror_source_a")
+    spark.range(1).createOrReplaceTempView("mirror_source_probe")
+    report = mirror.tables(spark, [("a", "a")], ["mirror_source_{table}"], "mirror_f", probe="probe")
+    assert report.first()["status"].startswith("skipped")
+    assert rows(spark.table("mirror_f.a")) == [(k,) for k in range(5)]
+
+
+def test_foreign_keys_reach_parents_beyond_one_draw(spark):
+    from tierworks.sources import synth
+
+    width = 8_000_000_000
+    drawn = spark.range(2000).selectExpr(f"pmod({synth.draw_for(1, 'c', width)}, {width}L) AS v")
+    low, high = drawn.selectExpr("min(v)", "max(v)").first()
+    assert 0 <= low < width * 0.01 and width * 0.99 < high < width
+    with pytest.raises(ValueError):
+        synth.draw_for(1, "c", 2**63)
+
+
 def test_clustering_keeps_rows_and_splits_hot_keys(spark):
     df = spark.range(4000).select("id", F.when(F.col("id") < 3000, 1).otherwise(F.col("id")).alias("k"))
     laid = sinks.clustered(df, ["k"], 8)
     assert rows(laid) == rows(df)
     biggest = laid.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert biggest < 2000
-
-
-def test_spread_only_touches_small_tables(spark, folder):
-    spark.range(100).repartition(1).write.parquet(f"{folder}/small")
-    small = spark.read.parquet(f"{folder}/small")
-    assert readers.spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    spark.range(100).repartition(20).write.parquet(f"{folder}/many")
-    many = spark.read.parquet(f"{folder}/many")
-    assert readers.spread(many) is many

@@ -11,15 +11,16 @@ from tierworks.checks.tables import AS_OF, RUN_TS, audit_sql, with_views
 from tierworks.checks.tables_queries import ORACLE as TABLE_ORACLE
 from tierworks.checks.text_queries import ORACLE as TEXT_ORACLE
 from tierworks.functions import calendar
-from tierworks.operators import changes
+from tierworks.operators import changes, personal_data
 from tierworks.plans import audit, products as pr
-from tierworks.plans.publish import Governance
+from tierworks.plans.publish import Governance, attach
 from tierworks.plans.refresh import Medallion
 from tierworks.session import fresh_path
 from tierworks.sources import mirror, readers, sinks
 from tierworks.streaming import bronze as stream_bronze, changes as stream_changes
 
-FEED_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+FEED_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                "o_orderpriority"]
 
 
 def _before(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,6 +99,55 @@ def cdc_apply_stream(spark, sf):
     )
 
 
+def cdc_apply_late(spark, sf):
+    """The same events in batches that arrive in reverse order, deletes among them."""
+    root = fresh_path(spark, "late")
+    log = _as_changes(tb.read(spark, sf, "events"))
+    for part in (3, 2, 1, 0):
+        day = F.dayofmonth("ts")
+        late = log.filter((day > part * 8) & (day <= part * 8 + 8))
+        late.coalesce(1).write.mode("append").parquet(f"{root}/log")
+    stream = readers.stream_files(spark, f"{root}/log", log.schema, files_per_trigger=1)
+    return stream_changes.apply_stream(
+        stream, _profiles(spark, sf), f"{root}/target", f"{root}/checkpoint", "user_id",
+        ["ts", "event_id"], buckets=8,
+    )
+
+
+def feed_replay_versions(spark, sf):
+    """The whole feed of a table over three versions, one with a new column, replayed."""
+    name = f"feed_{uuid.uuid4().hex}"
+    tables = Medallion(spark, name, fresh_path(spark, name))
+    steps = [_before(spark, sf), _after(spark, sf),
+             _after(spark, sf).withColumn("is_large", F.col("o_totalprice") > 200000)]
+    for step in steps:
+        tables.materialized(
+            "silver_orders",
+            lambda t, step=step: pr.bronze(
+                step.withColumn("data_quality_flag", F.lit("CLEAN")), ["o_orderkey"], "shop", RUN_TS),
+            Governance("silver", "Cleaned orders of the shop", "data-engineering", "orders"),
+            key=["o_orderkey"], track=True,
+        )
+        tables.run()
+    feed = tables.changes("silver_orders")
+    nothing = tables.ref("silver_orders").limit(0)
+    rebuilt = changes.apply(nothing, feed, "o_orderkey", "version")
+    return rebuilt.select(*FEED_COLUMNS, "is_large")
+
+
+def gold_guard(spark, sf):
+    """What the guard says about a good gold frame and a bad one."""
+    people = tb.customers(spark, sf)
+    good = people.groupBy("region", "customer_segment").agg(F.count("*").alias("customer_count"))
+    bad = people.select(
+        "region", "date_of_birth", F.sha2("email", 256).alias("email_hash"),
+        F.concat(F.lit("written to "), F.trim("email")).alias("note"),
+    )
+    parts = [personal_data.gold_report(df).withColumn("frame", F.lit(n))
+             for n, df in (("good", good), ("bad", bad))]
+    return parts[0].unionByName(parts[1])
+
+
 def bronze_events_stream(spark, sf):
     root = fresh_path(spark, "events")
     prepared = stream_bronze.prepare(_event_stream(spark, sf), ["event_id"], "clickstream", RUN_TS)
@@ -114,7 +164,7 @@ def dedupe_replay(spark, sf):
     stream = readers.stream_files(spark, f"{root}/landing", events.schema)
     once = stream_bronze.drop_replays(stream, ["event_id"], "ts", "60 days")
     stream_bronze.append(once, f"{root}/data", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/data").select("event_id", "user_id", "event_type", "value")
+    return spark.read.parquet(f"{root}/data")
 
 
 def incremental_consume(spark, sf):
@@ -141,20 +191,26 @@ def incremental_consume(spark, sf):
 
 def csv_round_trip(spark, sf):
     path = fresh_path(spark, "csv")
-    customers = tb.customers(spark, sf).withColumn("email", F.trim("email")).drop("date_of_birth")
+    customers = tb.customers(spark, sf).withColumn("email", F.trim("email"))
     sinks.csv(customers, path)
     return readers.csv(spark, path, customers.schema)
 
 
 def clustered_write(spark, sf):
     path = fresh_path(spark, "clustered")
-    orders = tb.read(spark, sf, "orders").drop("o_orderdate")
+    orders = tb.read(spark, sf, "orders")
     sinks.write(orders, path, cluster_by=["o_orderstatus", "o_totalprice"])
     return spark.read.parquet(path)
 
 
 def file_inventory(spark, sf):
-    return readers.file_inventory(spark, sf, "*.parquet")
+    """Orders in one folder per status and one file per folder, with the rows of each."""
+    path = fresh_path(spark, "inventory")
+    orders = tb.read(spark, sf, "orders").withColumn("status", F.col("o_orderstatus"))
+    orders.repartition("status").write.partitionBy("status").parquet(path)
+    rows = spark.read.parquet(path).groupBy(F.concat(F.lit("status="), "status").alias("directory"))
+    files = readers.file_inventory(spark, path, "*.parquet").select("directory", "file_count")
+    return files.join(rows.agg(F.count("*").alias("row_count")), "directory", "left")
 
 
 MIRRORED = [("customer.parquet", "customers"), ("supplier.parquet", "franchises"),
@@ -209,6 +265,7 @@ def medallion(spark, sf) -> Medallion:
         lambda t: pr.gold_customer_segments(t.ref("silver_customers"), RUN_TS),
         Governance("gold", "Business aggregation: customers by region and tiers", **common,
                    docs=SEGMENT_DOCS),
+        key=["region", "income_tier", "credit_tier"],
     )
     return tables
 
@@ -235,7 +292,7 @@ def _review_tables(spark, sf) -> Medallion:
     tables.materialized(
         "silver_review_sentiment",
         lambda t: pr.silver_review_sentiment(
-            readers.spread(t.ref("bronze_reviews")), "voice_of_customer", RUN_TS, tq.LEXICON,
+            t.ref("bronze_reviews"), "voice_of_customer", RUN_TS, tq.LEXICON,
             tq.TAXONOMY, tq.FIELDS,
         ),
         Governance("silver", "Reviews with sentiment, topic and entities from bronze_reviews",
@@ -314,6 +371,20 @@ def table_audit(spark, sf):
     return audit.audit(spark, tables.database, CONTRACTS)
 
 
+def audit_bad_table(spark, sf):
+    """Rules broken by a table that states a feed and row tracking it does not have."""
+    name = f"bad_{uuid.uuid4().hex}"
+    root = fresh_path(spark, name)
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{root}'")
+    nations = pr.bronze(tb.read(spark, sf, "nation"), ["n_nationkey"], "shop", RUN_TS)
+    nations.write.parquet(f"{root}/silver_nations/v1")
+    attach(spark, f"{name}.silver_nations", f"{root}/silver_nations/v1", nations.schema,
+           Governance("silver", "Nations of the shop", "data-engineering", "shop",
+                      properties={"change_feed": "true", "row_tracking": "true"}))
+    found = audit.audit(spark, name, {"silver_nations": audit.Contract("silver", ["n_nationkey"])})
+    return found.filter("NOT passed")
+
+
 def frame_audit(spark, sf):
     """Rules on an ungoverned table: most of them fail."""
     contract = audit.Contract("silver", ["l_orderkey", "l_linenumber"], {"l_returnflag": ["A", "N"]})
@@ -363,9 +434,10 @@ QUERIES = {
     f.__name__: f
     for f in (
         change_feed, change_feed_bucketed, change_replay, row_tracking, cdc_apply, cdc_apply_stream,
+        cdc_apply_late, feed_replay_versions, gold_guard,
         bronze_events_stream, dedupe_replay, incremental_consume, csv_round_trip, clustered_write,
         file_inventory, mirror_tables, mirror_verify, medallion_refresh, bronze_reviews_stream,
-        review_tables_refresh, account_tables_refresh, table_audit, frame_audit,
+        review_tables_refresh, account_tables_refresh, table_audit, audit_bad_table, frame_audit,
         column_profile, date_dimension, bronze_date_dimensions, pii_table_labels,
     )
 }
@@ -374,7 +446,7 @@ _LIST = ", ".join(FEED_COLUMNS)
 _BEFORE = f"SELECT {_LIST} FROM orders WHERE o_orderdate < '2001-01-01'"
 _AFTER = f"""SELECT o_orderkey, o_custkey,
     CASE WHEN o_orderstatus = 'P' AND o_orderdate < '1997-01-01' THEN 'F' ELSE o_orderstatus END
-    AS o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_totalprice >= 20000"""
+    AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_totalprice >= 20000"""
 _FEED = """
     SELECT a.*, 'insert' AS _change_type FROM a LEFT JOIN b USING (o_orderkey) WHERE b.o_custkey IS NULL
     UNION ALL
@@ -402,7 +474,8 @@ def _rule_sql(table: str, rule: str, failing: str = "0", source: str = "") -> st
 
 def _audit_sql() -> str:
     layout = ["snake_case_names", "layer_prefix", "audit_columns_last"]
-    documents = ["comment_present", "required_properties", "quality_matches_layer", "column_docs"]
+    documents = ["comment_present", "required_properties", "quality_matches_layer", "column_docs",
+                 "row_tracking_true"]
     lines = []
     for table, extra in {
         "bronze_customers": ["pii_labelled", "pii_in_comment"],
@@ -456,9 +529,16 @@ ORACLE = {
             FROM a LEFT JOIN b USING (o_orderkey)""",
     "cdc_apply": _APPLIED,
     "cdc_apply_stream": _APPLIED,
+    "cdc_apply_late": _APPLIED,
+    "feed_replay_versions": f"SELECT *, o_totalprice > 200000 AS is_large FROM ({_AFTER})",
+    "gold_guard":
+        """SELECT * FROM (VALUES ('date_of_birth', 'DOB', 'name', 'bad'),
+           ('email_hash', 'DERIVED', 'name', 'bad'), ('note', 'EMAIL', 'value', 'bad'))
+           AS t(column_name, pii_type, evidence, frame)
+           WHERE (SELECT count(*) FROM customer WHERE c_custkey IS NOT NULL) > 0""",
     "bronze_events_stream":
         f"SELECT *, {audit_sql('clickstream')} FROM events WHERE event_id IS NOT NULL",
-    "dedupe_replay": "SELECT event_id, user_id, event_type, value FROM events",
+    "dedupe_replay": "SELECT * FROM events",
     "incremental_consume":
         f"""WITH b AS ({_BEFORE}), a AS ({_AFTER}), feed AS ({_FEED})
             SELECT 0 AS run, _change_type AS change_type, count(*) AS row_count FROM feed GROUP BY 2
@@ -466,8 +546,11 @@ ORACLE = {
             SELECT 1, CASE _change_type WHEN 'insert' THEN 'delete' WHEN 'delete' THEN 'insert'
                       ELSE _change_type END, count(*) FROM feed GROUP BY 2""",
     "csv_round_trip": with_views(
-        "SELECT * EXCLUDE (date_of_birth) REPLACE (trim(email) AS email) FROM customers", "customers"),
-    "clustered_write": "SELECT * EXCLUDE (o_orderdate) FROM orders",
+        "SELECT * REPLACE (trim(email) AS email) FROM customers", "customers"),
+    "clustered_write": "SELECT * FROM orders",
+    "file_inventory":
+        """SELECT 'status=' || o_orderstatus AS directory, 1 AS file_count, count(*) AS row_count
+           FROM orders GROUP BY o_orderstatus""",
     "mirror_tables":
         """SELECT 'customer.parquet' AS source, 'customers' AS target, 'copied' AS status,
                   count(*) AS source_rows, count(*) AS target_rows FROM customer
@@ -483,6 +566,10 @@ ORACLE = {
     "review_tables_refresh": TEXT_ORACLE["gold_review_topics_by_franchise"],
     "account_tables_refresh": TABLE_ORACLE["gold_account_summary"],
     "table_audit": _audit_sql(),
+    "audit_bad_table": " UNION ALL ".join(
+        _rule_sql("silver_nations", rule, "CASE WHEN count(*) > 0 THEN 1 ELSE 0 END", "FROM nation")
+        for rule in ("quality_flag_present", "column_docs", "change_feed_enabled", "row_tracking_true")
+    ),
     "frame_audit": " UNION ALL ".join([
         _rule_sql("LineItem", "snake_case_names", "1"), _rule_sql("LineItem", "layer_prefix", "1"),
         _rule_sql("LineItem", "audit_columns_last", "2"),

@@ -61,19 +61,33 @@ def learn_lexicon(spark, sf):
 def sentiment_learned(spark, sf):
     """Every document scored with the lexicon learned from the labelled ones."""
     lexicon = enrich.learn_lexicon(_labelled(spark, sf), "text", "toxic")
-    scored = enrich.sentiment_by_table(documents(spark, sf), "doc_id", "text", lexicon)
+    scored = enrich.sentiment_by_table(documents(spark, sf), "text", lexicon)
     return scored.select("doc_id", "sentiment_label")
 
 
 def sentiment_joined(spark, sf):
-    """The same through the join that large lexicons take."""
-    lexicon = enrich.learn_lexicon(_labelled(spark, sf), "text", "toxic")
-    scored = enrich.sentiment_by_table(
-        documents(spark, sf), "doc_id", "text", lexicon, inline_limit=0
-    )
+    """The same with a lexicon of mixed case and repeated entries."""
+    learned = enrich.learn_lexicon(_labelled(spark, sf), "text", "toxic").select("term", "polarity")
+    messy = learned.union(learned.select(F.initcap("term"), "polarity")).union(learned)
+    scored = enrich.sentiment_by_table(documents(spark, sf), "text", messy)
     return scored.select("doc_id", "sentiment_label")
 
 
+def classify_table(spark, sf):
+    """``classify`` with the taxonomy as a table."""
+    entries = [(t.upper(), label, i) for i, (label, terms) in enumerate(TAXONOMY.terms.items())
+               for t in terms]
+    table = spark.createDataFrame(entries * 2, "term string, label string, precedence int")
+    found = enrich.classify_by_table(documents(spark, sf), "text", table, TAXONOMY.fallback)
+    return found.select("doc_id", "topic_label")
+
+
+def extract_table(spark, sf):
+    names = spark.createDataFrame([(t,) for t in LEXICON.negative], "term string")
+    found = enrich.extract_by_table(documents(spark, sf), "text", names, "insult")
+    return found.select("doc_id", "insult")
+
+
 def classify(spark, sf):
     return enrich.classify(documents(spark, sf), "text", TAXONOMY).select("doc_id", "topic_label")
 
@@ -174,7 +188,8 @@ def gold_revenue_impact(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        sentiment, conversation_sentiment, learn_lexicon, sentiment_learned, sentiment_joined,
+        sentiment, conversation_sentiment, learn_lexicon, sentiment_learned, sentiment_joined, classify_table,
+        extract_table,
         classify, extract, summarize, batch_infer, translate, reuse_outputs, dq_flag_text,
         silver_review_sentiment, gold_review_sentiment_by_franchise,
         gold_review_topics_by_franchise, gold_revenue_impact,
@@ -303,6 +318,11 @@ ORACLE = {
     "sentiment_learned": _LEARNED_SENTIMENT,
     "sentiment_joined": _LEARNED_SENTIMENT,
     "classify": f"SELECT doc_id, {_topic_sql('text')} AS topic_label FROM documents",
+    "classify_table": f"SELECT doc_id, {_topic_sql('text')} AS topic_label FROM documents",
+    "extract_table":
+        f"""SELECT doc_id, CASE WHEN length(trim(text)) >= 5 THEN
+              list_filter({_words('text')}, lambda w: w IN {_in(LEXICON.negative)})[1] END
+              AS insult FROM documents""",
     "extract":
         f"""SELECT doc_id, {_field_sql('text', FIELDS['product_name'])} AS product_name,
             {_field_sql('text', FIELDS['staff_name'])} AS staff_name,

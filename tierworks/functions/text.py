@@ -9,8 +9,8 @@ from pyspark.sql import Column, functions as F
 WORD = r"\p{L}+"
 SENTENCE_END = r"[.!?\n]+"
 MIN_CHARS = 5  # fixed value: shorter text counts as missing
-# Word lists written into the plan are checked against this size; larger ones
-# must come as a DataFrame and are joined.
+# Word lists written into the plan are checked against this size; larger ones come as
+# a table (``enrich.sentiment_by_table``, ``classify_by_table``, ``extract_by_table``).
 MAX_INLINE_TERMS = 10_000
 
 SENTIMENTS = ("positive", "negative", "neutral", "mixed")  # fixed values
@@ -36,7 +36,7 @@ def check_inline(terms: Sequence[str]) -> list[str]:
     unique = list(dict.fromkeys(t.lower() for t in terms))
     if len(unique) > MAX_INLINE_TERMS:
         raise ValueError(
-            f"{len(unique)} terms exceed {MAX_INLINE_TERMS}; pass the word list as a DataFrame"
+            f"{len(unique)} terms exceed {MAX_INLINE_TERMS}; use the *_by_table functions"
         )
     return unique
 

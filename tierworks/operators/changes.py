@@ -16,7 +16,7 @@ CHANGE_COLUMN = "_change_type"
 def diff(
     old: DataFrame, new: DataFrame, key: Sequence[str] | str, ignore: Sequence[str] = ()
 ) -> DataFrame:
-    """Change feed that turns ``old`` into ``new``; keys must be unique and filled.
+    """Change feed that turns ``old`` into ``new``; keys must be unique.
 
     Columns in ``ignore`` (audit columns, say) are carried but do not make a change.
 
@@ -27,9 +27,11 @@ def diff(
     keys = [key] if isinstance(key, str) else list(key)
     if old.columns != new.columns:
         raise ValueError("both snapshots need the same columns in the same order")
-    before = old.select(*keys, F.struct(*old.columns).alias("_before"))
-    after = new.select(*keys, F.struct(*new.columns).alias("_after"))
-    both = before.join(after, keys, "full_outer")
+    before = old.select(F.struct(*old.columns).alias("_before"))
+    after = new.select(F.struct(*new.columns).alias("_after"))
+    # NULL-safe, so a key column may be NULL; a whole key must still be unique.
+    on = [F.col(f"_before.{k}").eqNullSafe(F.col(f"_after.{k}")) for k in keys]
+    both = before.join(after, on, "full_outer")
     had, has = F.col("_before").isNotNull(), F.col("_after").isNotNull()
 
     def line(kind: str, row: str) -> Column:
@@ -45,6 +47,25 @@ def diff(
     return changed.select(F.inline(lines)).select("_row.*", CHANGE_COLUMN)
 
 
+def aligned(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both snapshots with the columns of either, NULL where one lacks a column.
+
+    A column whose type changed has the new type in both; old values that cannot be
+    converted become NULL.
+    """
+    types = {f.name: f.dataType for f in [*old.schema.fields, *new.schema.fields]}
+
+    def shaped(df: DataFrame) -> DataFrame:
+        have = {f.name: f.dataType for f in df.schema.fields}
+        return df.select(*[
+            F.col(c) if have.get(c) == t
+            else (F.col(c).try_cast(t) if c in have else F.lit(None).cast(t)).alias(c)
+            for c, t in types.items()
+        ])
+
+    return shaped(old), shaped(new)
+
+
 def _same(before: str, after: str, columns: Sequence[str]) -> Column:
     """Both rows exist and agree in ``columns``, NULLs included."""
     equal = F.col(before).isNotNull() & F.col(after).isNotNull()
@@ -105,6 +126,39 @@ def apply(
     return merged.filter(alive).select(*keys, *values).select(*target.columns)
 
 
+def merge_state(
+    state: DataFrame, changes: DataFrame, key: Sequence[str], sequence: Sequence[str], kind: str
+) -> DataFrame:
+    """``state`` (a target with ``_seq`` and ``_deleted``) after ``changes``.
+
+    Deleted rows stay as tombstones with the sequence of their delete, so an older change
+    that arrives in a later batch cannot bring them back. Rows without a sequence are
+    older than any change.
+    """
+    effective = latest(changes.filter(F.col(kind) != UPDATE_BEFORE), key, sequence)
+    carried = [c for c in state.columns if c not in (*key, "_seq", "_deleted")]
+    incoming = effective.select(
+        *key,
+        F.struct(*[c for c in carried if c in changes.columns]).alias("_new"),
+        F.struct(*[F.col(c) for c in sequence]).alias("_order"),
+        (F.col(kind) == DELETE).alias("_gone"),
+    )
+    merged = state.join(incoming, list(key), "full_outer")
+    newer = F.col("_order").isNotNull() & (
+        F.col("_seq").isNull() | (F.col("_seq") <= F.col("_order"))
+    )
+    pick = lambda new, old: F.when(newer, new).otherwise(old)
+    values = [
+        pick(F.col(f"_new.{c}"), F.col(c)).alias(c) if c in changes.columns else F.col(c)
+        for c in carried
+    ]
+    return merged.select(
+        *key, *values,
+        pick(F.col("_order"), F.col("_seq")).alias("_seq"),
+        pick(F.col("_gone"), F.coalesce("_deleted", F.lit(False))).alias("_deleted"),
+    ).select(*state.columns)
+
+
 def replay(old: DataFrame, feed: DataFrame, key: Sequence[str] | str) -> DataFrame:
     """``old`` brought up to date with a feed made by ``diff`` (one change per key)."""
     keys = [key] if isinstance(key, str) else list(key)
@@ -129,7 +183,8 @@ def track_merge(
     """Next tracked snapshot: unchanged rows keep their version, others get ``version``."""
     keys = [key] if isinstance(key, str) else list(key)
     columns = new.columns
-    before = tracked.select(
+    known = aligned(tracked, new)[0]
+    before = known.select(
         *keys, F.struct(*columns).alias("_before"), F.col("row_version").alias("_version")
     )
     after = track_rows(new, keys, version).withColumn("_after", F.struct(*columns))

@@ -159,40 +159,84 @@ def learn_lexicon(
     return counted.withColumn("polarity", polarity).filter(F.col("polarity").isNotNull())
 
 
+def _table_hits(df: DataFrame, text: str, terms: DataFrame) -> DataFrame:
+    """Words of ``_text_key`` texts that are in ``terms`` (``term`` and more columns).
+
+    One row per different text, word and entry, with the word's first place ``_at``.
+    Spark broadcasts a list it has measured to be small and joins a large one by shuffle;
+    the result is the same.
+    """
+    worded = df.filter(F.col("_text_key").isNotNull()).select(
+        "_text_key", F.posexplode(F.array_distinct(tx.words(F.col(text)))).alias("_at", "term")
+    )
+    extra = [c for c in terms.columns if c != "term"]
+    entries = terms.select(F.lower("term").alias("term"), *extra).distinct()
+    return worded.join(entries, "term").distinct()
+
+
+def _text_keyed(df: DataFrame, text: str, min_chars: int) -> DataFrame:
+    """``_text_key`` is the same for equal texts and NULL for short and missing ones."""
+    long = tx.long_enough(F.col(text), min_chars)
+    return df.withColumn("_text_key", F.when(long, F.sha2(F.col(text), 256)))
+
+
+def _attached(keyed: DataFrame, found: DataFrame, out: str, value: Column) -> DataFrame:
+    """``value`` over ``found`` for rows with a text; rows without one stay out of the join."""
+    columns = [c for c in keyed.columns if c != "_text_key"]
+    usable = keyed.filter(F.col("_text_key").isNotNull()).join(found, "_text_key", "left")
+    scored = usable.select(*columns, value.alias(out))
+    nothing = keyed.filter(F.col("_text_key").isNull()).select(
+        *columns, F.lit(None).cast(scored.schema[out].dataType).alias(out)
+    )
+    return scored.unionByName(nothing)
+
+
 def sentiment_by_table(
     df: DataFrame,
-    key: str,
     text: str,
     lexicon: DataFrame,
     out: str = "sentiment_label",
-    inline_limit: int = tx.MAX_INLINE_TERMS,
     min_chars: int = tx.MIN_CHARS,
 ) -> DataFrame:
-    """``sentiment`` with a lexicon table (``term``, ``polarity``).
+    """``sentiment`` with a lexicon table (``term``, ``polarity``) of any size.
 
-    The table's size is checked first. Up to ``inline_limit`` terms go into the plan
-    and no row moves; a larger lexicon is joined to the distinct words of each row,
-    which needs a unique ``key``.
+    Terms count once however often and in whatever case they are listed; a term listed
+    on both sides counts for both. No key is needed: equal texts share their hits.
     """
-    rows = lexicon.select("term", "polarity").limit(inline_limit + 1).collect()
-    if len(rows) <= inline_limit:
-        sides = {
-            side: tuple(sorted(r["term"] for r in rows if r["polarity"] == side))
-            for side in ("positive", "negative")
-        }
-        return sentiment(df, text, Lexicon(**sides), out, min_chars)
-    usable = df.filter(tx.long_enough(F.col(text), min_chars))
-    worded = usable.select(key, F.explode(F.array_distinct(tx.words(F.col(text)))).alias("term"))
-    hits = worded.join(lexicon.select("term", "polarity"), "term").groupBy(key).agg(
+    keyed = _text_keyed(df, text, min_chars)
+    found = _table_hits(keyed, text, lexicon.select("term", "polarity")).groupBy("_text_key").agg(
         F.count_if(F.col("polarity") == "positive").alias("_positive"),
         F.count_if(F.col("polarity") == "negative").alias("_negative"),
     )
-    zero = F.lit(0)
-    rule = tx.sentiment_rule(
-        F.coalesce(F.col("_positive"), zero), F.coalesce(F.col("_negative"), zero)
-    )
-    gated = F.when(tx.long_enough(F.col(text), min_chars), rule)
-    return df.join(hits, key, "left").withColumn(out, gated).drop("_positive", "_negative")
+    counts = [F.coalesce(F.col(c), F.lit(0)) for c in ("_positive", "_negative")]
+    return _attached(keyed, found, out, tx.sentiment_rule(*counts))
+
+
+def classify_by_table(
+    df: DataFrame,
+    text: str,
+    taxonomy: DataFrame,
+    fallback: str = TOPIC_LABELS[-1],
+    out: str = "topic_label",
+    min_chars: int = tx.MIN_CHARS,
+) -> DataFrame:
+    """``classify`` with a table (``term``, ``label``, ``precedence``; lower wins a tie)."""
+    keyed = _text_keyed(df, text, min_chars)
+    hits = _table_hits(keyed, text, taxonomy.select("term", "label", "precedence"))
+    votes = hits.groupBy("_text_key", "label", "precedence").agg(F.count("*").alias("n"))
+    best = F.max(F.struct(F.col("n"), (-F.col("precedence")).alias("order"), F.col("label")))
+    found = votes.groupBy("_text_key").agg(best.alias("_best"))
+    return _attached(keyed, found, out, F.coalesce("_best.label", F.lit(fallback)))
+
+
+def extract_by_table(
+    df: DataFrame, text: str, names: DataFrame, out: str, min_chars: int = tx.MIN_CHARS
+) -> DataFrame:
+    """The first word of each text that a table (``term``) lists."""
+    keyed = _text_keyed(df, text, min_chars)
+    hits = _table_hits(keyed, text, names.select("term"))
+    found = hits.groupBy("_text_key").agg(F.min_by("term", "_at").alias("_first"))
+    return _attached(keyed, found, out, F.col("_first"))
 
 
 def classify(
@@ -303,6 +347,7 @@ def batch_infer(
     cache: str | None = None,
     min_chars: int = tx.MIN_CHARS,
     partitions: int | None = None,
+    retry_null: bool = False,
 ) -> DataFrame:
     """Run a user's model over every different text once and attach its answers.
 
@@ -310,7 +355,8 @@ def batch_infer(
     in Arrow batches. Texts below ``min_chars`` never reach it. Answers are written
     below ``cache`` (a shared path) and texts found there are not scored again;
     without ``cache`` a fresh folder of the shared checkpoint area is used, so that
-    even then a re-computed plan never calls the model twice.
+    even then a re-computed plan never calls the model twice. ``retry_null`` asks again
+    for texts whose answer was NULL.
     """
     spark = df.sparkSession
     schema = T.StructType(
@@ -318,8 +364,7 @@ def batch_infer(
         + T._parse_datatype_string(f"answer {out_type}").fields
     )
     cache = cache or fresh_path(spark, "answers")
-    usable = F.when(tx.long_enough(F.col(text), min_chars), F.sha2(F.col(text), 256))
-    keyed = df.withColumn("_text_key", usable)
+    keyed = _text_keyed(df, text, min_chars)
     distinct = (
         keyed.filter(F.col("_text_key").isNotNull())
         .select("_text_key", F.col(text).alias("_text"))
@@ -327,6 +372,8 @@ def batch_infer(
     )
     known = read_answers(spark, cache, schema)
     if known is not None:
+        if retry_null:
+            known = known.filter(F.col("answer").isNotNull())
         distinct = distinct.join(known, "_text_key", "left_anti")
     # Models are slow: spread the few texts left over many tasks, whatever their size.
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -338,8 +385,8 @@ def batch_infer(
             yield batch[["_text_key"]].assign(answer=answers)
 
     distinct.mapInPandas(run, schema).write.parquet(f"{cache}/run={uuid.uuid4().hex}")
-    answers = read_answers(spark, cache, schema).withColumnRenamed("answer", out)
-    return keyed.join(answers, "_text_key", "left").drop("_text_key")
+    answers = read_answers(spark, cache, schema)
+    return _attached(keyed, answers, out, F.col("answer"))
 
 
 def read_answers(spark, cache: str, schema: T.StructType) -> DataFrame | None:

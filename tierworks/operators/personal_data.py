@@ -130,9 +130,46 @@ def annotation(column: str) -> str | None:
     return f"[PII: {hit[0]} - {hit[1]}]" if hit else None
 
 
+def derived_columns(names: Sequence[str]) -> list[str]:
+    """Columns that hold one person's value in a masked form; bands (``_tier``) group many."""
+    endings = ("_hash", "_masked")
+    stems = {c: c[: -len(e)] for c in names for e in endings if c.endswith(e)}
+    return [c for c, stem in stems.items() if classify_name(stem)]
+
+
+def gold_findings(columns: Sequence[str]) -> dict[str, str]:
+    """Columns a gold table must not have: personal ones, source text, masked values."""
+    found = {c: kind for c, (kind, _) in personal_columns(columns).items()}
+    return found | {c: "DERIVED" for c in derived_columns(columns)}
+
+
+def value_counters(df: DataFrame) -> dict[str, Column]:
+    """A counter of personal-looking values per text column and class, for ``observe``."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return {
+        f"{c}__{kind}": F.count_if(has_match(F.col(c), pattern)).alias(f"{c}__{kind}")
+        for c in texts for pattern, (kind, _) in VALUE_CLASSES.items()
+    }
+
+
+def gold_report(df: DataFrame, threshold: float = 0.01) -> DataFrame:
+    """What the guard holds against a gold table: column, class and whether name or value."""
+    named = gold_findings(df.columns)
+    by_name = df.sparkSession.createDataFrame(
+        [(c, k, "name") for c, k in named.items()],
+        "column_name string, pii_type string, evidence string",
+    )
+    # A column held by its name is listed once, whatever its values look like.
+    shown = (F.col("hit_rate") >= threshold) & ~F.col("column_name").isin(list(named))
+    by_value = columns_report(df, threshold).filter(shown).select(
+        "column_name", "pii_type", F.lit("value").alias("evidence")
+    )
+    return by_name.unionByName(by_value)
+
+
 def check_gold(columns: Sequence[str]) -> None:
-    """Gold tables hold neither personal columns nor source text."""
-    found = personal_columns(columns)
+    """Gold tables hold neither personal columns, masked values nor source text."""
+    found = gold_findings(columns)
     if found:
         raise ValueError(f"gold table must not contain personal columns: {sorted(found)}")
 

@@ -15,7 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tierworks.functions.naming import is_snake_case
 from tierworks.operators import personal_data
 from tierworks.operators.shape import AUDIT_COLUMNS, QUALITY_COLUMN
-from tierworks.plans.publish import PII_SUFFIX, REQUIRED_PROPERTIES, read_properties
+from tierworks.plans.publish import (
+    PII_SUFFIX,
+    REQUIRED_PROPERTIES,
+    read_location,
+    read_properties,
+)
+from tierworks.session import subfolders
 
 FLAG_SHAPE = "^(CLEAN|AI_NULL_RESPONSE|(MISSING|NEGATIVE)_[A-Z0-9_]+)$"
 
@@ -74,8 +80,9 @@ def metadata_checks(
     properties: Mapping[str, str],
     comment: str,
     docs: Mapping[str, str],
+    feed: bool = True,
 ) -> dict[str, int]:
-    """Number of missing items per documentation rule."""
+    """Number of missing items per documentation rule; ``feed``: its files are there."""
     personal = personal_data.personal_columns(columns)
     listed = set(filter(None, properties.get("pii_columns", "").split(",")))
     described = [*contract.key, *personal, *AUDIT_COLUMNS]
@@ -86,8 +93,9 @@ def metadata_checks(
         "quality_matches_layer": int(properties.get("quality") != contract.layer),
         "column_docs": sum(not docs.get(c) for c in described if c in columns),
     }
+    checks["row_tracking_true"] = int((properties.get("row_tracking") == "true") != ("row_id" in columns))
     if contract.layer in ("silver", "gold"):
-        checks["change_feed_enabled"] = int(properties.get("change_feed") != "true")
+        checks["change_feed_enabled"] = int(properties.get("change_feed") != "true" or not feed)
     if personal:
         checks["pii_labelled"] = len(set(personal) - listed) + int(
             properties.get("contains_pii") != "true"
@@ -122,8 +130,10 @@ def audit(spark: SparkSession, database: str, contracts: Mapping[str, Contract])
         df = spark.table(name)
         described = spark.catalog.getTable(name).description or ""
         docs = {f.name: f.metadata.get("comment", "") for f in df.schema.fields}
+        folder = read_location(spark, name).rsplit("/", 1)[0]
         fixed = schema_checks(table, df.columns, contract) | metadata_checks(
-            df.columns, contract, read_properties(spark, name), described, docs
+            df.columns, contract, read_properties(spark, name), described, docs,
+            "feed" in subfolders(spark, folder),
         )
         parts.append(check(df, table, contract, fixed))
     return reduce(DataFrame.unionByName, parts)

@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 from tierworks.functions.naming import check_table_name
 from tierworks.operators import personal_data, quality
 from tierworks.operators.shape import AUDIT_COLUMNS, QUALITY_COLUMN
+from tierworks.sources.sinks import quoted, same_columns
 
 # Descriptions of the standard columns.
 STANDARD_DOCS = {
@@ -26,6 +27,9 @@ STANDARD_DOCS = {
 PII_SUFFIX = " - CONTAINS PII: "  # fixed value
 REQUIRED_PROPERTIES = ("quality", "data_owner", "domain")  # fixed values
 FORBIDDEN_PROPERTIES = ("owner",)
+PERSONAL_SHARE = 0.01
+# Names of the properties a table's owner added, so that removed ones can be unset.
+DECLARED = "declared_properties"
 
 
 @dataclass(frozen=True)
@@ -64,14 +68,17 @@ class Governance:
         personal = list(personal_data.personal_columns(columns))
         return self.comment + (PII_SUFFIX + ", ".join(personal) if personal else "")
 
-    def table_properties(self, columns: Sequence[str]) -> dict[str, str]:
+    def table_properties(
+        self, columns: Sequence[str], feed: bool = False, tracked: bool = False
+    ) -> dict[str, str]:
+        """``feed`` and ``tracked`` say what the refresh really did, not what was wished."""
         personal = list(personal_data.personal_columns(columns))
         result = {"quality": self.layer, "data_owner": self.data_owner, "domain": self.domain}
         if personal:
             result |= {"contains_pii": "true", "pii_columns": ",".join(personal)}
-        if self.layer in ("silver", "gold"):
+        if feed:
             result["change_feed"] = "true"
-        if self.layer == "silver" or self.streaming:
+        if tracked:
             result["row_tracking"] = "true"
         if self.retention_days is not None:
             result["retention_days"] = str(self.retention_days)
@@ -89,28 +96,36 @@ class Governance:
         return result
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _pairs(properties: Mapping[str, str]) -> str:
-    return ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
+    return ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in properties.items())
 
 
 def stage(
-    df: DataFrame, path: str, expectations: Sequence[quality.Expectation] = ()
+    df: DataFrame,
+    path: str,
+    expectations: Sequence[quality.Expectation] = (),
+    refuse_personal: bool = False,
 ) -> dict[str, int]:
     """Write ``df`` to the new ``path`` and count violations in the same pass.
 
+    With ``refuse_personal``, text that looks like personal data is counted as well and
+    a column with a share of ``PERSONAL_SHARE`` or more of it stops the publication.
+
     Raises before anything is published if a ``fail`` expectation was broken. Counts
     come from task metrics, so a stage that runs twice may report more dropped rows
     than there are; it can not hide a violation.
     """
     seen = Observation()
     counters = [F.count("*").alias("input_rows"), *quality.violation_counts(expectations)]
+    guards = personal_data.value_counters(df) if refuse_personal else {}
+    counters += guards.values()
     watched = df.observe(seen, *counters)
     quality.dropped(watched, expectations).write.parquet(path)
     counts = {k: int(v) for k, v in seen.get.items()}
+    hits = {g: counts.pop(g) for g in guards}
+    shown = sorted(g for g, n in hits.items() if n and n >= PERSONAL_SHARE * counts["input_rows"])
+    if shown:
+        raise quality.ExpectationFailed(f"nothing published, personal data in {shown}")
     broken = [e.name for e in expectations if e.action == "fail" and counts[e.name]]
     if broken:
         raise quality.ExpectationFailed(f"nothing published, expectations failed: {broken}")
@@ -124,39 +139,50 @@ def attach(
     schema: StructType,
     governance: Governance,
     extra: Mapping[str, str] | None = None,
+    feed: bool = False,
+    tracked: bool = False,
 ) -> None:
-    """Point ``table`` at ``path`` and write comment, properties and descriptions."""
+    """Point ``table`` at ``path`` and write comment, properties and descriptions.
+
+    What an earlier refresh declared and this one does not is taken off the table.
+    """
     columns = schema.names
     comment = governance.table_comment(columns)
-    properties = governance.table_properties(columns) | dict(extra or {})
+    properties = governance.table_properties(columns, feed, tracked) | dict(extra or {})
+    if governance.properties:
+        properties[DECLARED] = ",".join(governance.properties)
     docs = governance.column_docs(columns)
-    if spark.catalog.tableExists(table) and _same_columns(spark.table(table).schema, schema):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(path)}")
-        spark.sql(f"COMMENT ON TABLE {table} IS {_quoted(comment)}")
+    if spark.catalog.tableExists(table) and same_columns(spark.table(table).schema, schema):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(path)}")
+        spark.sql(f"COMMENT ON TABLE {table} IS {quoted(comment)}")
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_pairs(properties)})")
         now = {f.name: f.metadata.get("comment", "") for f in spark.table(table).schema.fields}
-        for column, text in docs.items():
+        ours = ("quality", "data_owner", "domain", "contains_pii", "pii_columns", "change_feed",
+                "row_tracking", "retention_days")
+        declared = {k for k in read_properties(spark, table) if k in ours or k.startswith("tag.")}
+        declared |= set(read_properties(spark, table).get(DECLARED, "").split(",")) - {""}
+        stale = ", ".join(quoted(k) for k in sorted(declared - set(properties)))
+        if stale:
+            spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ({stale})")
+        for column in now:
+            text = docs.get(column, "")
             if now[column] != text:
-                spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{column}` COMMENT {_quoted(text)}")
+                spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{column}` COMMENT {quoted(text)}")
     else:
         # The files belong to the folder, not to the catalog entry: nothing is lost.
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         listed = ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}"
-            + (f" COMMENT {_quoted(docs[f.name])}" if f.name in docs else "")
+            + (f" COMMENT {quoted(docs[f.name])}" if f.name in docs else "")
             for f in schema.fields
         )
         spark.sql(
-            f"CREATE TABLE {table} ({listed}) USING parquet LOCATION {_quoted(path)} "
-            f"COMMENT {_quoted(comment)} TBLPROPERTIES ({_pairs(properties)})"
+            f"CREATE TABLE {table} ({listed}) USING parquet LOCATION {quoted(path)} "
+            f"COMMENT {quoted(comment)} TBLPROPERTIES ({_pairs(properties)})"
         )
     spark.catalog.refreshTable(table)
 
 
-def _same_columns(left: StructType, right: StructType) -> bool:
-    return [(f.name, f.dataType) for f in left.fields] == [(f.name, f.dataType) for f in right.fields]
-
-
 def read_properties(spark: SparkSession, table: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierworks.operators import changes, quality, shape
 from tierworks.plans.publish import Governance, attach, read_location, stage
-from tierworks.session import shared_folder
+from tierworks.session import delete_folder, shared_folder, subfolders
 from tierworks.sources.sinks import clustered
 from tierworks.streaming import bronze
 
@@ -26,7 +26,7 @@ class Dataset:
     expectations: Sequence[quality.Expectation] = ()
     key: Sequence[str] = ()
     cluster_by: Sequence[str] = ()
-    feed: bool = False
+    feed: bool | None = None
     track: bool = False
     retain_on: str | None = None
     run_date: str | None = None
@@ -67,6 +67,10 @@ class Medallion:
             raise ValueError(f"{layer} table {dataset.name}: expectations belong to silver")
         if (dataset.feed or dataset.track) and not dataset.key:
             raise ValueError(f"{dataset.name}: change feed and row tracking need a key")
+        if dataset.feed is None:
+            # Silver and gold tables owe a feed; without a key there can be none, and the
+            # audit says so.
+            dataset = replace(dataset, feed=bool(dataset.key) and layer != "bronze")
         self.datasets[dataset.name] = dataset
 
     def materialized(
@@ -85,6 +89,8 @@ class Medallion:
         """Declare an append-only table; ``build`` returns a streaming DataFrame."""
         if not governance.streaming:
             raise ValueError(f"{name}: governance must be marked as streaming")
+        if governance.retention_days is not None:
+            raise ValueError(f"{name}: an append-only table keeps its rows; retain downstream")
         self._declare(Dataset(name, build, governance))
 
     def run(self, *names: str) -> list[dict]:
@@ -114,14 +120,23 @@ class Medallion:
             df = df.select(*[c for c in df.columns if c not in tail], *tail)
         governance.check(dataset.name, df.columns)
         if dataset.retain_on and governance.retention_days is not None:
-            df = shape.retain(df, dataset.retain_on, governance.retention_days, dataset.run_date)
-        if dataset.cluster_by:
-            df = clustered(df, dataset.cluster_by)
+            day = dataset.run_date or F.current_date()
+            df = shape.retain(df, dataset.retain_on, governance.retention_days, day)
         path = f"{self.root}/{dataset.name}/v{version}-{uuid.uuid4().hex}"
-        counts = stage(df, path, dataset.expectations)
-        if dataset.feed and exists:
-            self._write_feed(dataset, path, df, version)
-        attach(self.spark, table, path, df.schema, governance, {"version": str(version)})
+        gold = governance.layer == "gold"
+        if dataset.cluster_by:
+            # Range partitioning samples its input, so it reads staged files, not the plan.
+            raw = f"{self.root}/{dataset.name}/raw-{uuid.uuid4().hex}"
+            counts = stage(df, raw, dataset.expectations, gold)
+            staged = self.spark.read.schema(df.schema).parquet(raw)
+            clustered(staged, dataset.cluster_by).write.parquet(path)
+            delete_folder(self.spark, raw)
+        else:
+            counts = stage(df, path, dataset.expectations, gold)
+        if dataset.feed:
+            self._write_feed(dataset, path, df, version, exists)
+        attach(self.spark, table, path, df.schema, governance, {"version": str(version)},
+               bool(dataset.feed), dataset.track)
         return {"table": dataset.name, "path": path, "version": version, **counts}
 
     def _tracked(self, dataset: Dataset, df: DataFrame, version: int, exists: bool) -> DataFrame:
@@ -134,11 +149,14 @@ class Medallion:
     def feed_path(self, name: str) -> str:
         return f"{self.root}/{name}/feed"
 
-    def _write_feed(self, dataset: Dataset, path: str, df: DataFrame, version: int) -> None:
-        before = self.spark.table(self.table(dataset.name))
+    def _write_feed(
+        self, dataset: Dataset, path: str, df: DataFrame, version: int, exists: bool
+    ) -> None:
+        """Every row of the first version is an insert; a new layout is compared over the
+        columns of both, so no change is ever left out of the feed."""
         after = self.spark.read.schema(df.schema).parquet(path)
-        if before.columns != after.columns:
-            return  # a changed layout starts a new feed
+        before = self.spark.table(self.table(dataset.name)) if exists else after.limit(0)
+        before, after = changes.aligned(before, after)
         ignored = [*shape.AUDIT_COLUMNS, "row_version"]
         feed = changes.diff(before, after, dataset.key, ignore=ignored)
         # One folder per version: a refresh that died before it published is repeated
@@ -147,3 +165,42 @@ class Medallion:
         feed.write.mode("overwrite").parquet(
             f"{self.feed_path(dataset.name)}/version={version}"
         )
+
+    def changes(self, name: str) -> DataFrame:
+        """All published changes of a table, with the columns of every layout it had.
+
+        ``version`` tells refreshes apart; changes of a refresh that has not been
+        published yet are left out. A column whose type changed has its last type.
+        """
+        path, published = self.feed_path(name), folder_version(
+            read_location(self.spark, self.table(name)))
+        numbers = sorted(int(n.partition("=")[2]) for n in subfolders(self.spark, path))
+        found = None
+        for number in (n for n in numbers if n <= published):
+            part = self.spark.read.parquet(f"{path}/version={number}").withColumn(
+                "version", F.lit(number))
+            found = part if found is None else DataFrame.unionByName(*changes.aligned(found, part))
+        if found is None:
+            raise ValueError(f"{name} has no change feed")
+        return found
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Remove all but the last ``keep`` versions of every table; returns what went.
+
+        The folder the catalog names is never touched, however old it is.
+        """
+        gone = []
+        for name, dataset in self.datasets.items():
+            if dataset.governance.streaming or not self.spark.catalog.tableExists(self.table(name)):
+                continue
+            folder = f"{self.root}/{name}"
+            live = read_location(self.spark, self.table(name)).rsplit("/", 1)[1]
+            versions = sorted(
+                (n for n in subfolders(self.spark, folder) if folder_version(f"/{n}")),
+                key=lambda n: folder_version(f"/{n}"),
+            )
+            for old in versions[: max(0, len(versions) - keep)]:
+                if old != live:
+                    delete_folder(self.spark, f"{folder}/{old}")
+                    gone.append(f"{folder}/{old}")
+        return gone

@@ -35,6 +35,24 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _folder(spark: SparkSession, path: str):
+    handle = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return handle.getFileSystem(spark._jsc.hadoopConfiguration()), handle
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``, none if it does not exist."""
+    files, handle = _folder(spark, path)
+    if not files.exists(handle):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(handle) if s.isDirectory())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, handle = _folder(spark, path)
+    files.delete(handle, True)
+
+
 # Settings the jobs are planned for; all can be changed at run time or at start.
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",

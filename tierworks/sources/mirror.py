@@ -6,7 +6,10 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+
+from tierworks.session import fresh_path
+from tierworks.sources.sinks import swap
 
 REPORT = "source string, target string, status string, source_rows long, target_rows long"
 
@@ -26,7 +29,7 @@ def _readable(spark: SparkSession, name: str) -> bool:
 def choose_source(
     spark: SparkSession, candidates: Sequence[str], probe: str
 ) -> str:
-    """First candidate whose ``probe`` table gives a row.
+    """First candidate whose ``probe`` table can be read; it may be empty.
 
     A candidate is a name with ``{table}`` in it, such as ``shop.{table}`` or
     ``parquet.`/data/{table}` ``.
@@ -47,38 +50,29 @@ def tables(
 ) -> DataFrame:
     """Copy ``(source, target)`` pairs into ``database``; the report has a line for each.
 
-    A table that cannot be copied is skipped, unless ``required`` names its target.
+    A copy is written to a new folder and the catalog entry pointed at it afterwards, so
+    a copy that fails, for whatever reason, leaves the last good one readable. It is
+    reported as skipped, unless ``required`` names its target.
     """
     source = choose_source(spark, candidates, probe or pairs[0][0])
-    lines: list[DataFrame] = []
+    lines: list[tuple] = []
     for origin, target in pairs:
-        origin_name, target_name = source.format(table=origin), f"{database}.{target}"
         try:
-            spark.table(origin_name).write.mode("overwrite").saveAsTable(target_name)
-        except PySparkException as problem:
+            seen = Observation()
+            df = spark.table(source.format(table=origin))
+            path = fresh_path(spark, f"mirror-{database}-{target}")
+            df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+            swap(spark, f"{database}.{target}", path, df.schema)
+        except Exception as problem:
             if target in required:
                 raise MirrorFailed(f"required table {target} was not copied") from problem
-            reason = problem.getCondition() or type(problem).__name__
-            row = [(origin, target, f"skipped: {reason}", None, None)]
-            lines.append(spark.createDataFrame(row, REPORT))
+            condition = problem.getCondition() if isinstance(problem, PySparkException) else None
+            reason = condition or type(problem).__name__
+            lines.append((origin, target, f"skipped: {reason}", None, None))
             continue
-        # Two one-row counts side by side, without a join.
-        none = F.lit(None).cast("long")
-        counted = spark.table(origin_name).agg(F.count("*").alias("source_rows"))
-        copied = spark.table(target_name).agg(F.count("*").alias("target_rows"))
-        both = counted.select("source_rows", none.alias("target_rows")).unionAll(
-            copied.select(none.alias("source_rows"), "target_rows")
-        )
-        lines.append(
-            both.agg(
-                F.lit(origin).alias("source"),
-                F.lit(target).alias("target"),
-                F.lit("copied").alias("status"),
-                F.max("source_rows").alias("source_rows"),
-                F.max("target_rows").alias("target_rows"),
-            )
-        )
-    return reduce(DataFrame.unionByName, lines)
+        copied = spark.table(f"{database}.{target}").count()
+        lines.append((origin, target, "copied", int(seen.get["n"]), copied))
+    return spark.createDataFrame(lines, REPORT)
 
 
 def verify(spark: SparkSession, database: str, names: Sequence[str] | None = None) -> DataFrame:

@@ -11,27 +11,6 @@ def csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give costly text work on a small table to all cores.
-
-    A table that fits into one scan split per core (its files are measured first) may
-    still lie in fewer row groups than there are cores; only such a table is
-    redistributed. Tables with enough splits or files are returned as they are,
-    without a shuffle.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:  # counted from the scan's plan, runs no job
-        return df
-    files = df.inputFiles()
-    if not files or len(files) >= cores:
-        return df
-    split = 128 * 1024 * 1024
-    listed = spark.read.format("binaryFile").load(files)
-    size = listed.agg(F.sum("length")).first()[0]
-    return df.repartition(cores) if size <= split * cores else df
-
-
 def stream_files(
     spark: SparkSession,
     path: str,

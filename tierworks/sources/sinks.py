@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 
 def csv(df: DataFrame, path: str) -> None:
@@ -33,6 +34,25 @@ def write(
     (clustered(df, cluster_by, partitions) if cluster_by else df).write.parquet(path)
 
 
+def same_columns(left: StructType, right: StructType) -> bool:
+    return [(f.name, f.dataType) for f in left.fields] == [(f.name, f.dataType) for f in right.fields]
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def swap(spark: SparkSession, table: str, path: str, schema: StructType) -> None:
+    """Point ``table`` at the finished files in ``path``; earlier files stay where they are."""
+    if spark.catalog.tableExists(table) and same_columns(spark.table(table).schema, schema):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(path)}")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE {table} ({listed}) USING parquet LOCATION {quoted(path)}")
+    spark.catalog.refreshTable(table)
+
+
 def write_bucketed(
     df: DataFrame, table: str, path: str, key: str, buckets: int
 ) -> None:

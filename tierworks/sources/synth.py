@@ -46,6 +46,15 @@ def draw(seed: int, name: str) -> str:
     return f"pmod({inner} * {low} + pmod({e} * {block}, {p}) + {d}, {p})"
 
 
+def draw_for(seed: int, name: str, width: int) -> str:
+    """A draw that reaches every number below ``width``; two are combined for a wide range."""
+    if width <= PRIME:
+        return draw(seed, name)
+    if width > PRIME**2:
+        raise ValueError(f"{width} values cannot all be drawn")
+    return f"({draw(seed, name + '#high')} * {PRIME}L + {draw(seed, name)})"
+
+
 def unit(seed: int, name: str) -> str:
     """A pseudo-random double in [0, 1)."""
     return f"(CAST({draw(seed, name)} AS DOUBLE) / {PRIME}D)"
@@ -110,7 +119,7 @@ def uniform(low: float, high: float, dtype: str, digits: int = 2) -> Field:
     """Whole numbers from ``low`` to ``high``, or decimals rounded to ``digits``."""
     if dtype == "int":
         width = int(high) - int(low) + 1
-        return Field(lambda s, c: f"pmod({draw(s, c)}, {width}) + {int(low)}", dtype)
+        return Field(lambda s, c: f"pmod({draw_for(s, c, width)}, {width}L) + {int(low)}", dtype)
     start, span = literal(float(low)), literal(float(high) - float(low))
     return Field(lambda s, c: f"round({unit(s, c)} * {span} + {start}, {digits})", dtype)
 
@@ -205,7 +214,7 @@ class Key:
 
 def foreign_key(parent: Key, parent_rows: int) -> Field:
     """A key of one of the parent's rows, so every child has a parent."""
-    return Field(lambda s, c: parent.of(f"pmod({draw(s, c)}, {parent_rows}L)"))
+    return Field(lambda s, c: parent.of(f"pmod({draw_for(s, c, parent_rows)}, {parent_rows}L)"))
 
 
 Spec = Mapping[str, Field]

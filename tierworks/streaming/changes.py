@@ -4,20 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierworks.operators import changes
+from tierworks.session import delete_folder, subfolders
 
 
-def read_version(spark: SparkSession, path: str, schema, version: int) -> DataFrame | None:
-    """The target as one finished batch left it; None if there was no such batch."""
-    try:
-        return spark.read.schema(schema).parquet(f"{path}/version={version}")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+BUCKETS = 64
+KEEP_VERSIONS = 3
+
+
+def _manifest(spark: SparkSession, path: str, version: int) -> dict[int, int]:
+    """The version in which each bucket was last written; at most one row per bucket."""
+    if f"manifest={version}" not in subfolders(spark, path):
+        raise FileNotFoundError(f"version {version} of {path} is missing")
+    rows = spark.read.parquet(f"{path}/manifest={version}").collect()
+    return {r["bucket"]: r["version"] for r in rows}
+
+
+def _read_buckets(spark: SparkSession, path: str, schema, places: dict[int, int]) -> DataFrame:
+    folders = [f"{path}/version={v}/_bucket={b}" for b, v in sorted(places.items())]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
 def apply_stream(
@@ -28,26 +35,49 @@ def apply_stream(
     key: Sequence[str] | str,
     sequence: Sequence[str] | str,
     kind: str = changes.CHANGE_COLUMN,
+    buckets: int = BUCKETS,
+    keep: int = KEEP_VERSIONS,
 ) -> DataFrame:
     """Merge all available changes into a versioned target below ``path``; returns it.
 
-    Batch ``n`` reads version ``n - 1`` (at first ``initial``) and writes version
-    ``n``. A batch that is repeated after a failure rewrites its own version from the
-    same input, so it has the same result, and the last finished version stays
-    readable all the time. The newest change per key wins inside a batch; if the
-    target carries the sequence column, a change older than its row is ignored too.
+    The target lies in hash buckets of the key, with the sequence of every row and
+    tombstones of deleted ones, so the result does not depend on how changes fall into
+    batches. Batch ``n`` rewrites the buckets it has changes for and writes a manifest
+    that names the version of every bucket. A batch repeated after a failure rewrites
+    its own version from the same input. Versions that the last ``keep`` manifests do
+    not name are removed.
     """
     spark = stream.sparkSession
-    schema = initial.schema
+    keys = [key] if isinstance(key, str) else list(key)
+    order = [sequence] if isinstance(sequence, str) else list(sequence)
+    sequence_type = stream.select(F.struct(*order).alias("_seq")).schema["_seq"].dataType
+    fresh = initial.select(
+        "*", F.lit(None).cast(sequence_type).alias("_seq"), F.lit(False).alias("_deleted")
+    )
+    schema = fresh.schema
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
     def merge(batch: DataFrame, number: int) -> None:
-        before = initial
-        if number > 0:
-            before = read_version(batch.sparkSession, path, schema, number - 1)
-            if before is None:
-                raise FileNotFoundError(f"version {number - 1} of {path} is missing")
-        merged = changes.apply(before, batch, key, sequence, kind)
-        merged.write.mode("overwrite").parquet(f"{path}/version={number}")
+        session = batch.sparkSession
+        places = _manifest(session, path, number - 1) if number else {}
+        if number:
+            touched = {r[0] for r in batch.select(bucket).distinct().collect()}
+            state = _read_buckets(
+                session, path, schema, {b: v for b, v in places.items() if b in touched}
+            )
+        else:
+            state = fresh
+        merged = changes.merge_state(state, batch, keys, order, kind)
+        target = f"{path}/version={number}"
+        merged.withColumn("_bucket", bucket).repartition("_bucket").write.mode(
+            "overwrite"
+        ).partitionBy("_bucket").parquet(target)
+        written = [n for n in subfolders(session, target) if n.startswith("_bucket=")]
+        places |= {int(n.partition("=")[2]): number for n in written}
+        session.createDataFrame(list(places.items()), "bucket int, version int").coalesce(
+            1
+        ).write.mode("overwrite").parquet(f"{path}/manifest={number}")
+        _forget(session, path, number, keep)
 
     query = (
         stream.writeStream.foreachBatch(merge)
@@ -57,18 +87,31 @@ def apply_stream(
     )
     query.awaitTermination()
     number = last_batch(spark, checkpoint)
-    current = read_version(spark, path, schema, number) if number >= 0 else None
-    return initial if current is None else current
+    if number < 0:
+        return initial
+    living = _read_buckets(spark, path, schema, _manifest(spark, path, number)).filter("NOT _deleted")
+    return living.select(*initial.columns)
+
+
+def _forget(spark: SparkSession, path: str, number: int, keep: int) -> None:
+    """Remove manifests older than the last ``keep`` and versions none of those names."""
+    names = subfolders(spark, path)
+    manifests = sorted(int(n.partition("=")[2]) for n in names if n.startswith("manifest="))
+    kept = [m for m in manifests if number - keep < m <= number]
+    named = {v for m in kept for v in _manifest(spark, path, m).values()} | {number}
+    for m in manifests:
+        if m <= number - keep:
+            delete_folder(spark, f"{path}/manifest={m}")
+    for n in names:
+        if n.startswith("version=") and (v := int(n.partition("=")[2])) < number and v not in named:
+            delete_folder(spark, f"{path}/version={v}")
 
 
 def last_batch(spark: SparkSession, checkpoint: str) -> int:
     """Number of the newest batch the checkpoint has committed, -1 if there is none."""
-    try:
-        commits = spark.read.format("binaryFile").load(f"{checkpoint}/commits").select("path")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if "commits" not in subfolders(spark, checkpoint):
         return -1
+    commits = spark.read.format("binaryFile").load(f"{checkpoint}/commits").select("path")
     number = F.regexp_extract("path", r"/([0-9]+)$", 1).try_cast("int")
     return commits.agg(F.coalesce(F.max(number), F.lit(-1))).first()[0]
 
