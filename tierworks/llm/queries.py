@@ -72,4 +72,71 @@ QUERIES = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+_SPACE = r"[\x20\x09-\x0D]"
+
+_BASE_RULES = ", ".join(
+    f"('{n}', '{n.partition('/')[0]}', '/{n.partition('/')[2]}', '{v}')" for n, v in urls.BASE_RULES
+)
+_PATTERNS = ", ".join(
+    [f"('site:{w}', '^([^/]*[.-])?{w}([.-]|/|$)')" for w in urls.BLOCKED_WORDS]
+    + [f"('page:{w}', '/{w}(/|[.]|$)')" for w in urls.BLOCKED_PAGES]
+    + [f"('file:{w}', '[.]{w}$')" for w in urls.BLOCKED_FILES]
+)
+
+#: Operators that learn, search approximately or hash with XXH64 have no SQL twin; they
+#: are tested against plain Python.
+ORACLE: dict[str, str] = {
+    "op1_exact_dedup": f"""
+        WITH d AS (
+            SELECT doc_id, length(coalesce(text, '')) AS n,
+                   sha256(regexp_replace(coalesce(text, ''), '{_SPACE}', '', 'g')) AS text_sha256
+            FROM documents)
+        SELECT doc_id, first_value(doc_id) OVER best AS keep_id,
+               count(*) OVER (PARTITION BY text_sha256) AS group_size,
+               first_value(doc_id) OVER best = doc_id AS kept, text_sha256
+        FROM d WINDOW best AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)""",
+    "op3_url_filter": f"""
+        WITH r(name, host, path, verdict) AS (VALUES {_BASE_RULES}),
+        m(name, pattern) AS (VALUES {_PATTERNS}),
+        u AS (SELECT page_id, CASE WHEN contains(url, '://')
+                     THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        p AS (SELECT page_id,
+                     translate(regexp_extract(rest, '^[^/?#]*'), '{urls.UPPER}', '{urls.LOWER}') AS host,
+                     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+        b AS (SELECT page_id, arg_max(name, length(name)) AS rule,
+                     arg_max(verdict, length(name)) AS verdict
+              FROM p JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host))
+                           AND starts_with(p.path, r.path) GROUP BY page_id),
+        q AS (SELECT page_id, first(name ORDER BY length(name) DESC, name) AS name
+              FROM p JOIN m ON regexp_matches(host || path, pattern) GROUP BY page_id)
+        SELECT p.page_id, host, path, rule,
+               coalesce(verdict, CASE WHEN q.name IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
+               CASE WHEN rule IS NULL THEN q.name END AS pattern_rule
+        FROM p LEFT JOIN b USING (page_id) LEFT JOIN q USING (page_id)""",
+    "op4_source_mix": f"""
+        WITH d AS (
+            SELECT doc_id, source,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+                   CAST('0x' || substr(md5('mix' || CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS key
+            FROM documents),
+        s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                     [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INT) + 1]
+                     AS weight FROM d GROUP BY source),
+        l AS (SELECT *, (CAST(sum(source_size) OVER () AS BIGINT) - coalesce(CAST(sum(3 * source_size) OVER full_ones AS BIGINT), 0))
+                     / (CAST(sum(weight) OVER () AS BIGINT) - coalesce(CAST(sum(weight) OVER full_ones AS BIGINT), 0)) AS level
+              FROM s WINDOW full_ones AS (ORDER BY 3 * source_size / weight, source NULLS LAST
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        t AS (SELECT *, (SELECT level FROM l WHERE weight * level <= 3 * source_size
+                         ORDER BY 3 * source_size / weight, source NULLS LAST LIMIT 1) AS final FROM l),
+        w AS (SELECT source, source_size, CASE WHEN weight * final > 3 * source_size
+                     THEN CAST(3 * source_size AS DOUBLE) ELSE weight * final END AS target FROM t),
+        e AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target) AS BIGINT) // source_size
+                     ELSE 0 END AS epochs FROM w),
+        c AS (SELECT d.*, source_size, target, epochs,
+                     CAST(floor(target) AS BIGINT) - epochs * source_size
+                     - coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room
+              FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
+        SELECT doc_id, source, size, source_size, target,
+               CAST(size * epochs + greatest(0, least(size, room)) AS BIGINT) AS taken FROM c""",
+}
