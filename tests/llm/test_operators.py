@@ -289,6 +289,12 @@ def test_packing(spark, rng):
     assert len(pieces) == len(set(pieces))
 
 
+def test_packing_keeps_large_ids_beside_null_ones(spark):
+    rows = [(None, 5, "a", None), (2**62 + 1, 5, "a", None), (2**62 + 3, 5, "b", "k")]
+    items = spark.createDataFrame(rows, "doc_id long, size long, source string, cluster string")
+    assert {r["doc_id"] for r in packing.pack(items).collect()} == {None, 2**62 + 1, 2**62 + 3}
+
+
 def test_best_fit_takes_the_tightest_compatible_bin(rng):
     capacity, per_source = 50, 2
     items = sorted(((rng.randint(1, 30), rng.randint(0, 2), rng.randint(-1, 3)) for _ in range(300)),
@@ -552,6 +558,12 @@ def test_personal_data(spark, field):
         assert not base or set(listed.split(",")) <= set(rows[i]["spans"].split(","))
 
 
+def test_personal_data_keeps_large_ids_beside_null_ones(spark, field):
+    frame = spark.createDataFrame([(None, "a"), (2**62 + 1, "b@c.de")], "doc_id long, text string")
+    found = {(r["doc_id"], r["spans"]) for r in pii.find(frame, field).collect()}
+    assert found == {(None, ""), (2**62 + 1, "email:0:6")}
+
+
 def test_field_adds_spans_and_leaves_clean_text_alone(field):
     decoder = pii.Decoder(field)
     texts = ["please phone (555) 010-2399 soon", "write to tom@intranet today, thanks",

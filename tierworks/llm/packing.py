@@ -34,7 +34,7 @@ SHARD_ROWS = 8192
 # Bins of one shard are numbered from shard * BINS_PER_SHARD.
 BINS_PER_SHARD = 2**32
 
-SCHEMA = """doc_id long, copy long, piece long, start long, length long,
+SCHEMA = """doc_id long, has_id boolean, copy long, piece long, start long, length long,
             source string, cluster string, bin_id long, place long"""
 
 
@@ -82,8 +82,8 @@ def best_fit(lengths, sources, clusters, capacity: int, per_source: int) -> list
 def _pack_shard(capacity: int, per_source: int):
     def pack(key, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(
-            ["length", "doc_id", "source", "cluster", "copy", "piece"],
-            ascending=[False, True, True, True, True, True], na_position="last",
+            ["length", "has_id", "doc_id", "source", "cluster", "copy", "piece"],
+            ascending=[False, False, True, True, True, True, True], na_position="last",
         ).reset_index(drop=True)
         sources = pd.factorize(frame["source"], use_na_sentinel=False)[0]
         # A cluster met once in the shard conflicts with nothing and needs no bit.
@@ -95,7 +95,7 @@ def _pack_shard(capacity: int, per_source: int):
         )
         frame["bin_id"] = int(key[0]) * BINS_PER_SHARD + np.array(bins, dtype="int64")
         frame["place"] = frame.groupby("bin_id").cumcount()
-        return frame[["doc_id", "copy", "piece", "start", "length", "source", "cluster",
+        return frame[["doc_id", "has_id", "copy", "piece", "start", "length", "source", "cluster",
                       "bin_id", "place"]]
 
     return pack
@@ -136,5 +136,8 @@ def pack(
     spread = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
                          F.col("copy"), F.col("piece"))
     sharded = filled.withColumn("shard", F.pmod(id_hash(spread, "pack"), F.lit(shards)))
-    packed = sharded.groupBy("shard").applyInPandas(_pack_shard(capacity, per_source), SCHEMA)
-    return packed.unionByName(nothing)
+    # pandas turns integers with gaps into floats, so a null id travels as 0 with a mark.
+    whole = sharded.withColumn("has_id", F.col("doc_id").isNotNull()).fillna(0, ["doc_id"])
+    packed = whole.groupBy("shard").applyInPandas(_pack_shard(capacity, per_source), SCHEMA)
+    restored = packed.withColumn("doc_id", F.when(F.col("has_id"), F.col("doc_id"))).drop("has_id")
+    return restored.unionByName(nothing)

@@ -19,10 +19,11 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tierworks.llm.pii_base import KINDS, base_spans, is_card
@@ -147,11 +148,8 @@ class Words(NamedTuple):
 
 
 def words_of(raw: bytes) -> Words:
-    lower = raw.lower().replace(b":", b" ").split() if b":" in raw else raw.lower().split()
     shapes = raw.translate(_TO_CLASS).split()
-    if len(lower) != len(shapes):
-        lower = [w.rstrip(b":") for w in raw.lower().split()]
-    return Words(shapes, [_CUE_OF.get(w, 0) for w in lower])
+    return Words(shapes, [_CUE_OF.get(w.rstrip(b":"), 0) for w in raw.lower().split()])
 
 
 def labelled_rows() -> list[tuple[bytes, list[int]]]:
@@ -393,6 +391,8 @@ DECODED_WORDS = 400_000
 def find(docs: DataFrame, field: Field, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: counts of base spans by kind, base_sha256 and spans."""
     counts = [f"n_{k}" for k in KINDS]
+    names = [*counts, "base_sha256", "spans"]
+    types = [pa.int64()] * len(counts) + [pa.string()] * 2
 
     def rows_of(texts: list[str], decoder: Decoder):
         raws = [t.encode("utf-8", "replace") for t in texts]
@@ -405,24 +405,23 @@ def find(docs: DataFrame, field: Field, text: str = "text", key: str = "doc_id")
                 listed(base + added_spans(raw, path, base)),
             )
 
-    def scan(frames):
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(field)
-        for frame in frames:
-            texts = ["" if t is None else t for t in frame["text"]]
+        for batch in batches:
             found: list[tuple] = []
             waiting: list[str] = []
             held = 0
-            for t in texts:
-                waiting.append(t)
-                held += len(t) // 4
+            for t in batch.column("text").to_pylist():
+                waiting.append(t or "")
+                held += len(waiting[-1]) // 4
                 if held >= DECODED_WORDS:
                     found += rows_of(waiting, decoder)
                     waiting, held = [], 0
             found += rows_of(waiting, decoder)
-            result = pd.DataFrame(found, columns=[*counts, "base_sha256", "spans"])
-            result.insert(0, "doc_id", frame["doc_id"].to_numpy())
-            yield result
+            columns = list(zip(*found, strict=True)) or [()] * len(names)
+            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], ["doc_id", *names])
 
     schema = "doc_id long, " + "".join(f"{c} long, " for c in counts) + "base_sha256 string, spans string"
     narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return narrow.mapInPandas(scan, schema)
+    return narrow.mapInArrow(scan, schema)
