@@ -6,7 +6,9 @@ each hit votes for the diagonal (document position minus template position) it l
 An unbroken occurrence of a template is one diagonal with all its votes. Diagonals with
 too few votes are noise; neighbouring ones of one template are merged, which bridges
 words that were put in or left out, and a merged span is verified by the share of
-different template positions it covers and by its length.
+different template positions it covers and by its length. Where a repeated phrase makes
+neighbours of so many diagonals that their span is too long, the best of its diagonals
+with those next to it is verified instead.
 
 Only hits are shuffled, and one mark per document, which carries its number of words.
 
@@ -172,16 +174,33 @@ def spans(found: DataFrame) -> DataFrame:
     gap = F.col("diagonal") - F.lag("diagonal").over(along)
     # An unbroken base phrase is a place of its own, however close the next one is.
     fresh = F.when(gap.isNull() | F.col("is_base") | (gap > NEIGHBOUR), 1).otherwise(0)
+    next_to = along.rangeBetween(0, NEIGHBOUR)
+    near = F.struct(
+        _union(F.collect_list("covered").over(next_to)).alias("covered"),
+        (-F.min("start").over(next_to)).alias("before"),
+        (F.max("end").over(next_to) + GRAM).alias("end"),
+    )
     merged = (
-        voted.withColumn("fresh", fresh)
+        voted.withColumns({"fresh": fresh, "near": near})
         .withColumn("span", F.sum("fresh").over(along))
         .groupBy("row_no", "doc_id", "n_words", "template", "label", "is_base", "grams", "span")
         .agg(F.min("start").alias("start"), (F.max("end") + GRAM).alias("end"),
-             F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("covered"))
+             _union(F.collect_list("covered")).alias("covered"), F.max("near").alias("near"))
+    )
+    fits = F.col("end") - F.col("start") <= 2 * (F.col("grams") + 1)
+    pick = lambda whole, part: F.when(F.col("is_base") | fits, whole).otherwise(part)
+    narrowed = merged.select(
+        "row_no", "doc_id", "n_words", "template", "label", "is_base", "grams",
+        pick(F.col("start"), -F.col("near.before")).alias("start"),
+        pick(F.col("end"), F.col("near.end")).alias("end"),
+        (pick(F.col("covered"), F.col("near.covered")) / F.col("grams")).alias("cover"),
     )
-    cover = F.col("covered") / F.col("grams")
-    verified = (cover >= MIN_COVER) & (F.col("end") - F.col("start") <= 2 * (F.col("grams") + 1))
-    return merged.withColumn("cover", cover).filter(F.col("template").isNull() | verified)
+    return narrowed.filter(F.col("template").isNull() | (F.col("cover") >= MIN_COVER))
+
+
+def _union(lists: Column) -> Column:
+    """How many different positions the lists hold."""
+    return F.size(F.array_distinct(F.flatten(lists)))
 
 
 def _listed(condition: Column) -> Column:
