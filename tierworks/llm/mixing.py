@@ -1,8 +1,10 @@
 """Mixing sources to target weights by exact word budgets.
 
 Every row has a hash-random key made from its id. The keys of a source are cut into
-ranges of about ``RANGE_ROWS`` rows, sums of words per range give the prefix sums, and
-only the one range that holds the budget's end is looked at row by row. Rows themselves
+ranges of about ``RANGE_ROWS`` rows and ``STRETCH`` ranges make a stretch. Prefix sums
+over stretches find the one that holds the budget's end, those over its ranges find the
+range, and only this range is looked at row by row, so no window meets a number of rows
+that grows with the source beyond a millionth of it. Rows themselves
 are never sorted or shuffled: what a source takes is a number of whole epochs and the
 key at which one more epoch is cut, and each row is settled from that where it is read.
 
@@ -24,6 +26,7 @@ from tierworks.llm.common import HASH_RANGE, id_hash, packed, staged, word_count
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
 RANGE_ROWS = 1000
+STRETCH = 1000
 SEED = "mix"
 
 
@@ -73,6 +76,13 @@ def targets(sources: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFr
     return table.select("source", "source_no", "source_size", "n_rows", target.alias("target"))
 
 
+def _holding(parts: DataFrame, order: str) -> DataFrame:
+    """The part of each source in which ``rest`` words end; ``before``: words ahead of all parts."""
+    along = Window.partitionBy("source_no").orderBy(order)
+    ahead = F.col("before") + F.sum("words").over(along) - F.col("words")
+    return parts.withColumn("before", ahead).filter("before < rest AND rest <= before + words")
+
+
 def plan(sized: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
     """Per source: target, whole epochs, and where one more epoch ends.
 
@@ -100,9 +110,14 @@ def plan(sized: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
     sums = ranged.groupBy("source_no", "range").agg(
         F.sum("size").alias("words"), F.first("rest").alias("rest")
     )
-    by_range = Window.partitionBy("source_no").orderBy("range")
-    sums = sums.withColumn("before", F.sum("words").over(by_range) - F.col("words"))
-    cut = sums.filter("before < rest AND rest <= before + words").select(
+    sums = staged(
+        sums.withColumn("stretch", F.floor(F.col("range") / STRETCH)), "range-sums"
+    )
+    stretches = sums.groupBy("source_no", "stretch").agg(
+        F.sum("words").alias("words"), F.first("rest").alias("rest")
+    ).withColumn("before", F.lit(0).cast("long"))
+    found = _holding(stretches, "stretch").select("source_no", "stretch", "before")
+    cut = _holding(sums.join(found, ["source_no", "stretch"]), "range").select(
         "source_no", "range", "before"
     )
     cut = staged(cut, "cut-ranges")
