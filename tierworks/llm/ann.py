@@ -29,7 +29,7 @@ from tierworks.llm.common import id_hash, parts_for, staged
 NEAREST = 10
 PIVOTS = 128
 SEGMENT_ROWS = 8192
-QUERY_ROWS = 1024
+QUERY_ROWS = 8192
 RERANK = 0.15
 RERANK_LEAST = 200
 
