@@ -133,6 +133,15 @@ def test_license_scan(spark):
     assert found[1]["labels"] == "gpl,gpl-3.0"
 
 
+def test_license_among_repeated_phrases(spark):
+    """Votes of a phrase that is repeated close by do not hide the notice among them."""
+    chain = "the mit license " * 60
+    texts = [chain + "released under the mit license " + chain, chain, "released the mit " * 40]
+    found = {r["doc_id"]: r for r in licenses.scan(docs(spark, texts)).collect()}
+    assert found[0]["labels"] == "mit" and found[0]["score"] == 1
+    assert found[1]["labels"] == "" and found[2]["labels"] == ""
+
+
 def test_license_repeated_rows(spark):
     frame = docs(spark, ["cc by"]).union(docs(spark, ["cc by"])).withColumn("pos", F.lit(1))
     assert [r["n_base"] for r in licenses.scan(frame).collect()] == [1, 1]
@@ -237,6 +246,16 @@ def test_mixing(spark, rng):
         assert got[s] == int(t + 1e-9), s
 
 
+def test_mixing_in_many_stretches(spark, rng, monkeypatch):
+    """Small ranges and stretches give the same rows as one range for all."""
+    texts = ["w " * rng.choice([0, 1, 5, 40, 400]) for _ in range(400)]
+    frame = docs(spark, texts, {i: "hot" for i in range(150)})
+    whole = sorted(tuple(r) for r in mixing.taken(frame).collect())
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 3)
+    monkeypatch.setattr(mixing, "STRETCH", 4)
+    assert sorted(tuple(r) for r in mixing.taken(frame).collect()) == whole
+
+
 def test_mixed_rows(spark, rng):
     texts = ["w " * rng.choice([1, 5, 40]) for _ in range(200)]
     frame = docs(spark, texts).withColumn("copies", F.lit("x")).withColumn("key", F.lit(1))
