@@ -200,6 +200,9 @@ def test_personal_columns_are_labelled(spark, tables):
     name = tables.table("bronze_customers")
     properties = read_properties(spark, name)
     assert properties["contains_pii"] == "true" and properties["pii_columns"] == "email"
+    assert {k: v for k, v in properties.items() if k.startswith("tag.")} == {
+        "tag.quality": "bronze", "tag.domain": COMMON["domain"], "tag.pii": "true",
+        "tag.data_classification": "confidential"}
     assert spark.catalog.getTable(name).description.endswith(" - CONTAINS PII: email")
     docs = {f.name: f.metadata.get("comment") for f in spark.table(name).schema.fields}
     assert docs["email"] == "[PII: EMAIL - HIGH]"

@@ -372,7 +372,7 @@ def table_audit(spark, sf):
 
 
 def audit_bad_table(spark, sf):
-    """Rules broken by a table that states a feed and row tracking it does not have."""
+    """Rules broken by a table that states a feed, row tracking and personal data it lacks."""
     name = f"bad_{uuid.uuid4().hex}"
     root = fresh_path(spark, name)
     spark.sql(f"CREATE DATABASE {name} LOCATION '{root}'")
@@ -380,7 +380,7 @@ def audit_bad_table(spark, sf):
     nations.write.parquet(f"{root}/silver_nations/v1")
     attach(spark, f"{name}.silver_nations", f"{root}/silver_nations/v1", nations.schema,
            Governance("silver", "Nations of the shop", "data-engineering", "shop",
-                      properties={"change_feed": "true", "row_tracking": "true"}))
+                      properties={"change_feed": "true", "row_tracking": "true", "tag.pii": "true"}))
     found = audit.audit(spark, name, {"silver_nations": audit.Contract("silver", ["n_nationkey"])})
     return found.filter("NOT passed")
 
@@ -475,7 +475,7 @@ def _rule_sql(table: str, rule: str, failing: str = "0", source: str = "") -> st
 def _audit_sql() -> str:
     layout = ["snake_case_names", "layer_prefix", "audit_columns_last"]
     documents = ["comment_present", "required_properties", "quality_matches_layer", "column_docs",
-                 "row_tracking_true"]
+                 "required_tags", "row_tracking_true"]
     lines = []
     for table, extra in {
         "bronze_customers": ["pii_labelled", "pii_in_comment"],
@@ -568,7 +568,8 @@ ORACLE = {
     "table_audit": _audit_sql(),
     "audit_bad_table": " UNION ALL ".join(
         _rule_sql("silver_nations", rule, "CASE WHEN count(*) > 0 THEN 1 ELSE 0 END", "FROM nation")
-        for rule in ("quality_flag_present", "column_docs", "change_feed_enabled", "row_tracking_true")
+        for rule in ("quality_flag_present", "column_docs", "change_feed_enabled",
+                     "required_tags", "row_tracking_true")
     ),
     "frame_audit": " UNION ALL ".join([
         _rule_sql("LineItem", "snake_case_names", "1"), _rule_sql("LineItem", "layer_prefix", "1"),

@@ -18,6 +18,7 @@ from tierworks.operators.shape import AUDIT_COLUMNS, QUALITY_COLUMN
 from tierworks.plans.publish import (
     PII_SUFFIX,
     REQUIRED_PROPERTIES,
+    REQUIRED_TAGS,
     read_location,
     read_properties,
 )
@@ -93,6 +94,10 @@ def metadata_checks(
         "quality_matches_layer": int(properties.get("quality") != contract.layer),
         "column_docs": sum(not docs.get(c) for c in described if c in columns),
     }
+    tagged_personal = properties.get("tag.pii", str(bool(personal)).lower()) == "true"
+    checks["required_tags"] = sum(f"tag.{t}" not in properties for t in REQUIRED_TAGS) + int(
+        tagged_personal != bool(personal)
+    )
     checks["row_tracking_true"] = int((properties.get("row_tracking") == "true") != ("row_id" in columns))
     if contract.layer in ("silver", "gold"):
         checks["change_feed_enabled"] = int(properties.get("change_feed") != "true" or not feed)

@@ -27,6 +27,10 @@ STANDARD_DOCS = {
 PII_SUFFIX = " - CONTAINS PII: "  # fixed value
 REQUIRED_PROPERTIES = ("quality", "data_owner", "domain")  # fixed values
 FORBIDDEN_PROPERTIES = ("owner",)
+# Tags every table has, and how closed a table is by its highest risk.
+REQUIRED_TAGS = ("quality", "domain", "pii", "data_classification")
+CLASSIFICATIONS = [("CRITICAL", "restricted"), ("HIGH", "confidential"), ("MEDIUM", "confidential")]
+OPEN_CLASSIFICATION = "internal"
 PERSONAL_SHARE = 0.01
 # Names of the properties a table's owner added, so that removed ones can be unset.
 DECLARED = "declared_properties"
@@ -82,9 +86,21 @@ class Governance:
             result["row_tracking"] = "true"
         if self.retention_days is not None:
             result["retention_days"] = str(self.retention_days)
-        result |= {f"tag.{k}": v for k, v in self.tags.items()}
+        result |= {f"tag.{k}": v for k, v in self.table_tags(columns).items()}
         return result | dict(self.properties)
 
+    def table_tags(self, columns: Sequence[str]) -> dict[str, str]:
+        """The required tags, made from layer, domain and columns, and the declared ones."""
+        risks = {risk for _, risk in personal_data.personal_columns(columns).values()}
+        closed = [label for risk, label in CLASSIFICATIONS if risk in risks]
+        derived = {
+            "quality": self.layer,
+            "domain": self.domain,
+            "pii": str(bool(risks)).lower(),
+            "data_classification": [*closed, OPEN_CLASSIFICATION][0],
+        }
+        return derived | dict(self.tags)
+
     def column_docs(self, columns: Sequence[str]) -> dict[str, str]:
         """Descriptions, with the class and risk of personal columns appended."""
         result = {}
