@@ -81,6 +81,17 @@ def test_exact_null_ids(spark):
     assert found == {(3, 3, True), (None, 3, False), (None, None, True)}
 
 
+@pytest.mark.parametrize("counters", [1, 1000])
+def test_exact_keep_rows_of_null_and_repeated_ids(spark, counters):
+    """One row of each text stays, however often a row or an id is repeated."""
+    given = [(None, "t"), (3, "t"), (None, "u"), (None, "u"), (4, "t "), (4, "t ")]
+    given += [(9, "hot")] * 50 + [(8, "h o t")] * 2 + [(5, None), (None, "")]
+    frame = spark.createDataFrame(given, "doc_id long, text string")
+    kept = exact_dedup.keep_rows(frame, counters=counters).collect()
+    assert {tuple(r) for r in kept} == {(4, "t "), (None, "u"), (8, "h o t"), (5, None)}
+    assert len(kept) == 4
+
+
 def test_misra_gries_finds_every_frequent_digest():
     import pandas as pd
     values = ["hot"] * 400 + [f"v{i}" for i in range(600)]

@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tierworks.llm.common import WHITESPACE, packed, staged, text_or_empty
 
@@ -111,32 +111,41 @@ def groups(
     )
 
 
+def _settled_key(digest: str, length: Column, doc_id: Column) -> Column:
+    """Names the row of a text that stays; a null id is told from every other one."""
+    marked = F.coalesce(F.concat(F.lit("id "), doc_id.cast("string")), F.lit("none"))
+    return F.concat_ws(":", F.col(digest), length, marked)
+
+
 def keep_rows(
     df: DataFrame, text: str = "text", key: str = "doc_id", counters: int = COUNTERS
 ) -> DataFrame:
     """The rows of ``df`` that stay, with their columns as they are.
 
-    Rows of frequent texts other than the best are removed before the shuffle.
+    Rows of frequent texts other than the best are removed where they are read. The best
+    row of each other text is found over digests alone, so whole rows meet it under keys
+    that hold their ids and no group of copies comes together; rows that are equal in all
+    of this are combined before they are shuffled.
     """
-    best = frequent(_digests(df, text, key), counters).select(
-        F.col("digest").alias("hot"), "best"
-    )
-    rows = packed(df).select(
-        "row",
-        digest(f"row.{text}").alias("digest"),
-        F.length(text_or_empty(f"row.{text}")).cast("long").alias("length"),
-        F.col(f"row.{key}").alias("doc_id"),
-    )
-    is_best = (F.col("length") == -F.col("best.shortness")) & F.col("doc_id").eqNullSafe(
-        F.col("best.doc_id")
+    digests = _digests(df, text, key)
+    winners = frequent(digests, counters)
+    rest = digests.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
+    best = rest.groupBy("digest").agg(_best().alias("best")).unionByName(
+        winners.select("digest", "best")
     )
-    left = rows.join(F.broadcast(best), F.col("digest") == F.col("hot"), "left").filter(
-        F.col("hot").isNull() | is_best
+    stays = best.select(
+        _settled_key("digest", -F.col("best.shortness"), F.col("best.doc_id")).alias("settled")
     )
-    order = Window.partitionBy("digest").orderBy(
-        F.desc("length"), F.asc_nulls_last("doc_id"), F.xxhash64("row")
+    rows = packed(df).withColumn("digest", digest(f"row.{text}"))
+    hot = winners.select(
+        F.col("digest").alias("hot"),
+        _settled_key("digest", -F.col("best.shortness"), F.col("best.doc_id")).alias("hot_best"),
     )
-    first = left.select("row", "digest", "length", "doc_id").withColumn(
-        "place", F.row_number().over(order)
+    length = F.length(text_or_empty(f"row.{text}")).cast("long")
+    keyed = rows.withColumn("settled", _settled_key("digest", length, F.col(f"row.{key}")))
+    left = keyed.join(F.broadcast(hot), F.col("digest") == F.col("hot"), "left").filter(
+        F.col("hot").isNull() | (F.col("settled") == F.col("hot_best"))
     )
-    return first.filter("place = 1").select("row.*")
+    found = left.select("row", "settled").join(stays, "settled", "left_semi")
+    one = found.groupBy("settled").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return one.select("row.*")
