@@ -109,7 +109,7 @@ class Forest:
             while self.root[y] != y:
                 y = self.root[y]
             self.root[max(x, y)] = min(x, y)
-        while (nearer := self.root[self.root]).tolist() != self.root.tolist():
+        while not np.array_equal(nearer := self.root[self.root], self.root):
             self.root = nearer
 
 
