@@ -1,0 +1,193 @@
+"""Near copies by the exact Jaccard similarity of word shingles, found by min-hash bands.
+
+Two texts are near copies if at least ``SIMILAR`` percent of their different shingles
+(``SHINGLE`` words in a row, A-Z lowered) are shared. ``PERMUTATIONS`` minima over the
+shingles of the whole text are cut into ``BANDS`` keys. Texts that share a key are
+candidates, and every candidate pair is verified by the exact shares of shingles.
+
+A pair at the bound shares a key of ``ROWS`` minima with probability 0.8 ** 5, so all
+``BANDS`` keys miss it with a probability of about 5e-9. Nothing else is left out: buckets
+have no cap. Pairs joined already, by the fingerprints of ``simhash`` or by the one link a text tries
+first, need no other link, so a large group of copies is not compared pair by pair.
+
+Defined cases: fewer words than a shingle count as one shingle. A text without words (a
+null one too) has no shingle and is no near copy here.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, functions as F
+
+from tierworks.llm import simhash
+from tierworks.llm.common import staged
+from tierworks.llm.components import components
+
+SHINGLE = 5
+SIMILAR = 80
+ROWS = 5
+BANDS = 48
+PERMUTATIONS = ROWS * BANDS
+SEED = 43
+# Shingles that meet all permutations at once.
+PIECE = 1 << 11
+
+_rng = np.random.default_rng(SEED)
+_TIMES = _rng.integers(0, 1 << 31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_PLUS = _rng.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Numbers whose bits all depend on all bits of ``x``."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def shingles(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
+    """The sorted different shingles of one text in UTF-8 as 64-bit hashes."""
+    words = (text or b"").lower().split()
+    hashed = xxhash.xxh64_intdigest
+    found = np.array([hashed(w, SEED) for w in words], dtype=np.uint64)
+    size = min(size, len(words))
+    if not size:
+        return found
+    total = len(words) - size + 1
+    grams = np.full(total, size, dtype=np.uint64)
+    for i in range(size):
+        grams = grams * _ODD + found[i : i + total]
+    return np.unique(_mixed(grams))
+
+
+def band_keys(grams: np.ndarray) -> np.ndarray:
+    """One key per band of minima; ``grams`` has at least one shingle."""
+    short = (grams >> np.uint64(32)).astype(np.uint32)
+    least = np.full(PERMUTATIONS, 0xFFFFFFFF, dtype=np.uint32)
+    for at in range(0, len(short), PIECE):
+        some = short[at : at + PIECE, None] * _TIMES + _PLUS
+        np.minimum(least, some.min(axis=0), out=least)
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for column in least.reshape(BANDS, ROWS).T.astype(np.uint64):
+        keys = _mixed(keys * _ODD + column)
+    return keys.view(np.int64)
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[bytes | None]:
+    for text in batch.column("text").cast(pa.binary()):
+        yield text.as_py()
+
+
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hashes, sizes, keys = [], [], []
+        for text_hash, text in zip(batch.column("text_hash").to_pylist(), _texts(batch)):
+            grams = shingles(text)
+            if len(grams):
+                hashes.append(text_hash)
+                sizes.append(len(grams))
+                keys.append(band_keys(grams))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hashes, pa.int64()), pa.array(sizes, pa.int64()),
+             pa.array(keys, pa.list_(pa.int64()))],
+            names=["text_hash", "n", "keys"],
+        )
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for text_hash, text in zip(batch.column("text_hash").to_pylist(), _texts(batch)):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([text_hash], pa.int64()),
+                 pa.array([shingles(text).view(np.int64)], pa.list_(pa.int64()))],
+                names=["text_hash", "grams"],
+            )
+
+
+def _enough(shared, left, right):
+    """Whether ``shared`` of ``left`` and ``right`` shingles are ``SIMILAR`` percent of all."""
+    return shared * (100 + SIMILAR) >= (left + right) * SIMILAR
+
+
+def members_of(bands: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows (key, text_hash, n, root) of the buckets that hold more than one root."""
+    placed = bands.join(roots, "text_hash").select(
+        F.explode("keys").alias("key"), "text_hash", "n", "root"
+    )
+    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return placed.join(mixed.filter("low < high").select("key"), "key")
+
+
+def nearest_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each member and one text of the smallest root in its buckets."""
+    first = members.groupBy("key").agg(F.min(F.struct("root", "text_hash", "n")).alias("first"))
+    met = members.join(first, "key").filter("first.root < root").filter(
+        _enough(F.least("n", "first.n"), F.col("n"), F.col("first.n"))
+    )
+    chosen = met.groupBy("text_hash").agg(F.min("first").alias("first"))
+    return chosen.select(F.col("first.text_hash").alias("a"), F.col("text_hash").alias("b"))
+
+
+def all_pairs(members: DataFrame) -> DataFrame:
+    """All pairs (a, b) of different roots in a bucket that their sizes allow."""
+    other = members.select(
+        "key", *[F.col(c).alias(f"other_{c}") for c in ("text_hash", "n", "root")]
+    )
+    met = members.join(other, "key").filter("root < other_root").filter(
+        _enough(F.least("n", "other_n"), F.col("n"), F.col("other_n"))
+    )
+    return met.select(F.col("text_hash").alias("a"), F.col("other_text_hash").alias("b")).distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are near copies by all shingles of (text_hash, text)."""
+    pairs = staged(pairs, "candidates")
+    wanted = pairs.select(F.col("a").alias("text_hash")).union(pairs.select("b")).distinct()
+    sets = texts.join(wanted, "text_hash").mapInArrow(_sets, "text_hash long, grams array<long>")
+    # A text can be repeated; its shingles are the same each time.
+    sets = staged(sets.groupBy("text_hash").agg(F.first("grams").alias("grams")), "shingles")
+    left = sets.select(F.col("text_hash").alias("a"), F.col("grams").alias("left"))
+    right = sets.select(F.col("text_hash").alias("b"), F.col("grams").alias("right"))
+    shared = F.size(F.array_intersect("left", "right"))
+    met = pairs.join(left, "a").join(right, "b")
+    return met.filter(_enough(shared, F.size("left"), F.size("right"))).select("a", "b")
+
+
+def _rooted(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(text_hash, root) after the links (a, b) between texts joined their roots."""
+    at = lambda c: roots.select(F.col("text_hash").alias(c), F.col("root").alias(f"root_{c}"))
+    met = links.join(at("a"), "a").join(at("b"), "b")
+    joined = components(met.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    joined = joined.select(F.col("node").alias("root"), F.col("root").alias("joined"))
+    found = roots.join(joined, "root", "left")
+    return staged(found.select("text_hash", F.coalesce("joined", "root").alias("root")), "roots")
+
+
+def near_components(df: DataFrame, text: str = "text", key: str = "doc_id", **settings) -> DataFrame:
+    """Rows (doc_id, text_hash, root, component_id) joined by fingerprints or shingles."""
+    prints = staged(
+        simhash.near_components(simhash.fingerprints(df, text, key), **settings), "near"
+    )
+    texts = df.select(F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+    bands = staged(
+        texts.mapInArrow(_bands, "text_hash long, n long, keys array<long>")
+        .groupBy("text_hash").agg(F.first("n").alias("n"), F.first("keys").alias("keys")),
+        "bands",
+    )
+    roots = staged(prints.select("text_hash", "root").distinct(), "roots")
+    # One link for each text first joins large groups; then all that are still apart meet.
+    for pairs in (nearest_pairs, all_pairs):
+        members = staged(members_of(bands, roots), "members")
+        roots = _rooted(roots, staged(verified(pairs(members), texts), "verified"))
+    placed = prints.select("doc_id", "text_hash").join(roots, "text_hash")
+    smallest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return placed.join(smallest, "root").select("doc_id", "text_hash", "root", "component_id")
+
+
+def keep_rows(df: DataFrame, text: str = "text", key: str = "doc_id", **settings) -> DataFrame:
+    """The rows of ``df`` without near copies, kept as ``simhash.keep_rows`` does."""
+    return simhash.smallest_rows(df, near_components(df, text, key, **settings), text, key)

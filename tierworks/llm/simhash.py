@@ -235,6 +235,11 @@ def keep_rows(df: DataFrame, text: str = "text", key: str = "doc_id", **settings
     share the staying id in one component, one stays.
     """
     found = near_components(fingerprints(df, text, key), **settings)
+    return smallest_rows(df, found, text, key)
+
+
+def smallest_rows(df: DataFrame, found: DataFrame, text: str, key: str) -> DataFrame:
+    """The rows of ``df`` that stay by (doc_id, text_hash, root, component_id) of all rows."""
     kept = (
         found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("root", "component_id").agg(F.min("text_hash").alias("hash"))
