@@ -398,6 +398,16 @@ def test_language_held_out(spark):
         assert r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
 
 
+def test_rare_languages_stay_in_the_training_windows(spark):
+    # Sampled rows of the frequent language come first by the order of ids.
+    rows = [("en", bytes([i % 250]), i, 0) for i in range(50)]
+    rows += [(lang, b"w", 1000 + i, 0) for i, lang in enumerate(["fi", "sv", "sv"])]
+    frame = spark.createDataFrame(rows, "lang string, window binary, order long, at int")
+    for most, expected in ((100, (50, 1, 2)), (10, (7, 1, 2)), (2, (1, 1, 1))):
+        found = [r["lang"] for r in langid._evenly(frame, most).collect()]
+        assert tuple(map(found.count, ("en", "fi", "sv"))) == expected
+
+
 def test_language_nothing_to_learn(spark):
     frame = docs(spark, ["abc", None]).withColumn("lang", F.lit(None).cast("string"))
     assert langid.train(frame) is None

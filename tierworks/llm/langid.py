@@ -6,7 +6,9 @@ windows of a text are classified in batches and their log probabilities averaged
 whole text counts. Training takes windows spread over the whole of sampled texts.
 
 At most ``TRAIN_WINDOWS`` windows are used for training: documents are sampled by the
-hash of their ids, about ``DOCS_PER_LANGUAGE`` of each language.
+hash of their ids, about ``DOCS_PER_LANGUAGE`` of each language. If they have more
+windows, the languages take turns until the bound is reached, so each keeps an equal
+number or all it has; with more languages than that, each keeps one window.
 
 Defined cases: a text that is null or has no letter gives ``und`` with score 0; so does
 every text if there is nothing to learn from. Equal rows get equal results. A language
@@ -21,7 +23,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tierworks.llm.common import HASH_RANGE, id_hash, staged
 
@@ -194,6 +196,18 @@ def _spread_windows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["lang", "window", "order", "at"])
 
 
+def _evenly(windows: DataFrame, most: int) -> DataFrame:
+    """``windows`` in order, or ``most`` of them (at least one a language) dealt in turns."""
+    order = ["order", "at", "lang", "window"]
+    if windows.count() <= most:
+        return windows.orderBy(*order)
+    # A language has the windows of about ``DOCS_PER_LANGUAGE`` documents here, not of all.
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    languages = windows.select("lang").distinct().count()
+    dealt = windows.withColumn("turn", turn).orderBy("turn", *order).limit(max(most, languages))
+    return dealt.orderBy(*order).drop("turn")
+
+
 def train(docs: DataFrame) -> Network | None:
     """The network learned from (doc_id, text, lang) of rows that are not held out."""
     usable = docs.select("doc_id", "text", "lang", id_hash(F.col("doc_id"), "lang").alias("order"))
@@ -206,7 +220,7 @@ def train(docs: DataFrame) -> Network | None:
     windows = sampled.select("lang", "text", "order").mapInPandas(
         _spread_windows, "lang string, window binary, order long, at int"
     )
-    frame = windows.orderBy("order", "at", "lang", "window").limit(TRAIN_WINDOWS).toPandas()
+    frame = _evenly(staged(windows, "language-windows"), TRAIN_WINDOWS).toPandas()
     octets = np.frombuffer(b"".join(map(bytes, frame["window"])), dtype=np.uint8)
     return fit(octets.reshape(-1, WINDOW), frame["lang"].tolist())
 
