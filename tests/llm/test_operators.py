@@ -368,6 +368,16 @@ def test_quality_without_labels(spark):
     assert [(r["score"], r["keep"]) for r in found] == [(1.0, True)] * 2
 
 
+def test_quality_pool_is_drawn_from_documents_without_a_label(spark):
+    frame = docs(spark, ["a b"] * 60)
+    known = spark.createDataFrame([(i, 1.0) for i in range(50)], "doc_id long, quality double")
+    some = known.filter("doc_id < 20")
+    ids = lambda pool: {r["doc_id"] for r in quality.pool_ids(frame, known, some, pool).collect()}
+    assert ids(10) == set(range(50, 60))
+    assert len(ids(25)) == 25 and set(range(50, 60)) < ids(25) and not ids(25) & set(range(20))
+    assert ids(100) == set(range(20, 60))
+
+
 def test_co_training_hands_labels_over():
     rng = np.random.default_rng(3)
     y = (rng.random(400) < 0.5).astype(float)

@@ -8,11 +8,14 @@ a logistic regression over the two calibrated views scores all documents.
 
 Training uses samples of at most ``LABELLED`` labelled and ``POOL`` unlabelled rows,
 chosen by the hash of their ids; scoring reads every row and the whole text in batches.
+The pool is drawn from documents without a label. Where they are fewer than ``POOL``,
+labelled documents beyond the sample fill it up with their labels hidden.
 
 Defined cases: a null text is empty; null metadata is a value of its own. Labels that are
 null are left out, of several labels of one document the lowest counts. If the labels
 have fewer than two classes, or too few rows, every document gets the score 1. Equal rows
-get equal scores. An empty table gives no rows.
+get equal scores. An empty table gives no rows. If every document is in the labelled
+sample, the pool is empty and no round runs: the views learn from the labels alone.
 """
 
 from __future__ import annotations
@@ -165,6 +168,15 @@ def _features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame.drop(columns="text").assign(stats=stats)
 
 
+def pool_ids(docs: DataFrame, known: DataFrame, some: DataFrame, pool: int) -> DataFrame:
+    """At most ``pool`` ids of documents outside the sample ``some``, those without a label first."""
+    ids = docs.filter("doc_id IS NOT NULL").select("doc_id").distinct()
+    labelled = known.select("doc_id", F.lit(True).alias("labelled"))
+    rest = ids.join(labelled, "doc_id", "left").join(some.select("doc_id"), "doc_id", "left_anti")
+    order = [F.col("labelled").isNotNull(), id_hash(F.col("doc_id"), "pool"), F.col("doc_id")]
+    return rest.orderBy(*order).limit(pool).select("doc_id")
+
+
 def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> Model | None:
     """The model from documents (doc_id, text, lang, source, n_chars) and labels (doc_id, quality)."""
     order = [id_hash(F.col("doc_id"), "quality"), F.col("doc_id")]
@@ -172,9 +184,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: in
         F.min("quality").cast("double").alias("quality")
     )
     some = known.orderBy(*order).limit(labelled)
-    others = docs.filter("doc_id IS NOT NULL").select(
-        "doc_id", F.lit(None).cast("double").alias("quality")
-    ).orderBy(*order).limit(pool)
+    others = pool_ids(docs, known, some, pool).withColumn("quality", F.lit(None).cast("double"))
     # At most ``labelled + pool`` ids, so the broadcast is bounded.
     wanted = some.unionByName(others).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     sampled = docs.select(
