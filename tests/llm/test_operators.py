@@ -658,6 +658,21 @@ def test_field_adds_spans_and_leaves_clean_text_alone(field):
     assert found == [["(555) 010-2399"], ["tom@intranet"], ["4111.1111.1111.1111"], [], [], []]
 
 
+@pytest.mark.parametrize("kind,text,parts", [
+    ("phone", "(555) 010-2345, (555) 010-2346", ["(555) 010-2345", "(555) 010-2346"]),
+    ("phone", "010-2345, 010-2346", ["010-2345", "010-2346"]),
+    ("phone", "020 7946 0018 020 7946 0019", ["020 7946 0018", "020 7946 0019"]),
+    ("phone", "+1 (555) 010-9876 +1 (555) 010-9877", ["+1 (555) 010-9876", "+1 (555) 010-9877"]),
+    ("card", "4111 1111 1111 1111 5105 1051 0510 5100", ["4111 1111 1111 1111", "5105 1051 0510 5100"]),
+    ("email", "root@localhost bob@intranet", ["root@localhost", "bob@intranet"]),
+    ("ip", "10.0.0.1; 10.0.0.2", ["10.0.0.1", "10.0.0.2"]),
+])
+def test_neighbouring_spans_are_cut(kind, text, parts):
+    path = np.full(len(text.split()), pii.LABELS.index(kind))
+    found = pii.added_spans(text.encode(), path, [])
+    assert [(text[a:b], k) for a, b, k in found] == [(p, kind) for p in parts]
+
+
 def test_decoder_finds_the_best_path(field, rng):
     words = ["call", "+1", "(555)", "010-2345", "the", "a@b", "4111", "1.2.3.4", "x"]
     texts = [[rng.choice(words) for _ in range(rng.randint(1, 5))] for _ in range(40)]

@@ -7,7 +7,10 @@ words before it. Words of a batch of documents are decoded together by Viterbi i
 
 The chain of a document is cut behind every ``UNIT`` words, at the next word without a
 digit or an at sign, so memory does not depend on the length of a text and no number is
-cut apart. A decoded span has to hold what its kind needs (an at sign, enough digits, a
+cut apart. Neighbouring spans of one kind are decoded as one run, which is cut again: behind
+a word that ends with a comma or semicolon, at an at sign or address each, before an open
+bracket or plus once a number is complete, and where a run holds nothing as a whole, into
+the fewest and most even parts that do. A decoded span has to hold what its kind needs (an at sign, enough digits, a
 valid check sum) and must not touch a base span.
 
 Defined cases: a null text is empty and has no spans. Equal rows give equal results. An
@@ -347,6 +350,63 @@ def _holds(kind: str, span: str) -> bool:
     return 7 <= digits <= 15 and not re.search(r"[A-Za-z=@/:]", span)
 
 
+def _trimmed(kind: str, raw: bytes, start: int, end: int) -> tuple[int, int]:
+    keep_open = b"" if kind != "phone" else b"("
+    while start < end and raw[start : start + 1] in _edge_bytes(keep_open):
+        start += 1
+    while end > start and raw[end - 1 : end] in _edge_bytes(b""):
+        end -= 1
+    return start, end
+
+
+def _part(kind: str, raw: bytes, words: list[tuple[int, int]]) -> tuple[int, int] | None:
+    """Start and end of the words without edges, if they hold what the kind needs."""
+    start, end = _trimmed(kind, raw, words[0][0], words[-1][1])
+    return (start, end) if end > start and _holds(kind, raw[start:end].decode("utf-8", "replace")) else None
+
+
+def _parts(kind: str, raw: bytes, words: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans of a run of words of one kind."""
+    pieces, at = [], 0
+    for i in range(1, len(words) + 1):
+        ended = i == len(words) or raw[words[i - 1][1] - 1 : words[i - 1][1]] in (b",", b";")
+        opens = not ended and kind == "phone" and raw[words[i][0] : words[i][0] + 1] in (b"(", b"+")
+        if ended or opens and _part(kind, raw, words[at:i]):
+            pieces.append(words[at:i])
+            at = i
+    found = []
+    for piece in pieces:
+        whole = _part(kind, raw, piece)
+        several = kind == "email" and raw[piece[0][0] : piece[-1][1]].count(b"@") > 1
+        cut = _split(kind, raw, piece) if several or not whole else []
+        found += cut or ([whole] if whole else [])
+    return found
+
+
+def _split(kind: str, raw: bytes, words: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Parts that hold: the fewest words left over, then the fewest and most even parts."""
+    best: list[tuple] = [((0, 0, 0), -1, None)]
+    for i in range(1, len(words) + 1):
+        (left, parts, uneven), _, _ = best[i - 1]
+        choice = ((left + 1, parts, uneven), i - 1, None)
+        digits = 0
+        for j in range(i - 1, -1, -1):
+            digits += sum(48 <= c <= 57 for c in raw[words[j][0] : words[j][1]])
+            # A number has at most 19 digits; mails and addresses are single words.
+            if digits > 19 and j < i - 1 or kind in ("email", "ip") and j < i - 1 or i - j > 32:
+                break
+            if part := _part(kind, raw, words[j:i]):
+                (left, parts, uneven), _, _ = best[j]
+                choice = min(choice, ((left, parts + 1, uneven + digits**2), j, part), key=lambda c: c[0])
+        best.append(choice)
+    found, i = [], len(words)
+    while i:
+        _, j, part = best[i]
+        found += [part] if part else []
+        i = j
+    return found[::-1]
+
+
 def added_spans(raw: bytes, path: np.ndarray, base: list[tuple[int, int, str]]) -> list:
     """Decoded spans in code points that hold what their kind needs and touch no base span."""
     if not path.any():
@@ -358,15 +418,9 @@ def added_spans(raw: bytes, path: np.ndarray, base: list[tuple[int, int, str]])
         while to < len(path) and path[to] == path[at]:
             to += 1
         if path[at]:
-            start, end = bounds[at][0], bounds[to - 1][1]
             kind = LABELS[path[at]]
-            keep_open = b"" if kind != "phone" else b"("
-            while start < end and raw[start : start + 1] in _edge_bytes(keep_open):
-                start += 1
-            while end > start and raw[end - 1 : end] in _edge_bytes(b""):
-                end -= 1
-            text = raw[start:end].decode("utf-8", "replace")
-            if text and _holds(kind, text):
+            for start, end in _parts(kind, raw, bounds[at:to]):
+                text = raw[start:end].decode("utf-8", "replace")
                 first = len(raw[:start].decode("utf-8", "replace"))
                 span = (first, first + len(text), kind)
                 if all(span[1] <= a or span[0] >= b for a, b, _ in base):
