@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierworks.llm import exact_dedup, mixing, near_copies, packing, quality
+from tierworks.llm import exact_dedup, mixing, packing, quality, simhash
 from tierworks.llm.common import staged, word_count
 
 
@@ -21,8 +21,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Three bits as in op9, and all pairs with a 5-word Jaccard similarity of 0.8 or more."""
-    return near_copies.keep_rows(docs)
+    """Of each component of fingerprints within three bits, as in op9, one document stays."""
+    return simhash.keep_rows(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
