@@ -1,6 +1,7 @@
 """The corpus operators against plain Python over the whole of a small table."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -14,6 +15,12 @@ from tierworks.llm import (
     simhash, urls,
 )
 
+
+@pytest.fixture
+def rng():
+    return random.Random(11)
+
+
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 WS = re.compile(r"[\x20\x09-\x0D]")
 
@@ -541,40 +548,6 @@ def test_simhash_keep_rows(spark):
     assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 3, 8, 9]
 
 
-def test_pipeline_drops_near_copies_beyond_three_bits(spark, rng):
-    import corpus_pipeline
-
-    def grams(text):
-        words = text.lower().split()
-        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-    texts = ["", "one two", "One  two", "one three"]
-    for n in (30, 60, 200, 900, 3000):
-        base = [f"w{rng.randrange(5000)}" for _ in range(n)]
-        for k in (0, 1, 1, 2, 3, 4):
-            words = list(base)
-            for at in rng.sample(range(n), k * n // 120 + bool(k)):
-                words[at] = f"new{rng.randrange(10**6)}"
-            texts.append(" ".join(words))
-    sets = [grams(t) for t in texts]
-    prints = [brute_print(t) for t in texts]
-    root = list(range(len(texts)))
-    missed = 0
-    for i in range(len(texts)):
-        for j in range(i):
-            far = (prints[i] ^ prints[j]).bit_count() > 3
-            alike = 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and bool(sets[i])
-            missed += far and alike
-            if alike or not far:
-                a, b = root[i], root[j]
-                root = [min(a, b) if r in (a, b) else r for r in root]
-    assert missed > 5
-    kept = corpus_pipeline.drop_near_copies(spark, docs(spark, texts), "")
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root))
-    empty = corpus_pipeline.drop_near_copies(spark, docs(spark, texts).limit(0), "")
-    assert empty.collect() == []
-
-
 def test_components_of_a_long_chain(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)] + [(200, 200 + i) for i in range(1, 50)]
     found = {r["node"]: r["root"] for r in components.components(

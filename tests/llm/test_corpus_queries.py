@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables a
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_matches_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     df = queries.QUERIES[name](spark, SF_DIR)
     cursor = duck.execute(queries.ORACLE[name])
@@ -28,7 +28,7 @@ def test_query_matches_sql(spark, name):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):
@@ -52,7 +52,7 @@ def test_pipeline_stages(spark):
             assert len({strip(r["text"]) for r in after}) == len(after)
             assert {strip(r["text"]) for r in after} == {strip(r["text"]) for r in before}
         elif name == "simhash_near_dedup":
-            from test_operators import brute_components, brute_print
+            from test_corpus_operators import brute_components, brute_print
             groups = brute_components({r["doc_id"]: brute_print(r["text"]) for r in before})
             assert {r["doc_id"] for r in after} == set(groups.values())
         elif name == "source_mix":
