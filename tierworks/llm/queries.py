@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierworks.llm import (
-    ann, exact_dedup, langid, licenses, mixing, packing, pii, quality, simhash, urls,
+    ann, exact_dedup, langid, licenses, merkle, mixing, negatives, packing, pii, quality, simhash,
+    toxicity, urls,
 )
 from tierworks.llm.common import word_count
 
@@ -63,12 +64,29 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_read(spark, sf_dir, "documents"), pii.fit(pii.labelled_rows()))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.train(docs, _read(spark, sf_dir, "labels")))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_read(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh label is wrong by one, every fiftieth row is an anchor."""
+    label = F.col("label").cast("long")
+    wrong = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = negatives.prepared(_read(spark, sf_dir, "embeddings"), wrong)
+    return negatives.mine(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_license_scan, op3_url_filter, op4_source_mix, op5_best_fit_packing,
         op6_quality_classifier, op7_language_id, op8_nearest_vectors, op9_simhash_components,
-        op10_personal_data,
+        op10_personal_data, op11_toxicity, op12_merkle_manifest, op13_hard_negatives,
     )
 }
 
@@ -83,6 +101,74 @@ _PATTERNS = ", ".join(
     + [f"('file:{w}', '[.]{w}$')" for w in urls.BLOCKED_FILES]
 )
 
+
+def _merkle_field(name: str, value: str | None = None) -> str:
+    text = f"CAST({value or name} AS VARCHAR)"
+    return f"coalesce(CAST(octet_length(encode({text})) AS VARCHAR) || ':' || {text}, '-')"
+
+
+def _merkle_levels(prefix: str, key: str, levels: int) -> str:
+    """Nodes ``{prefix}0`` (key, idx, node, n) up to one a key, and the siblings of each level."""
+    steps = []
+    for k in range(levels):
+        run = f"PARTITION BY {key}, idx // 16 ORDER BY idx ROWS BETWEEN"
+        steps.append(f"""{prefix}s{k} AS (SELECT {key}, idx, n,
+            CASE WHEN n > 1 THEN coalesce(string_agg(node, '') OVER (
+                {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') ELSE '' END AS l,
+            CASE WHEN n > 1 THEN coalesce(string_agg(node, '') OVER (
+                {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') ELSE '' END AS r FROM {prefix}{k})""")
+        steps.append(f"""{prefix}{k + 1} AS (SELECT {key}, idx // 16 AS idx, (n + 15) // 16 AS n,
+            CASE WHEN n > 1 THEN sha256(string_agg(node, '' ORDER BY idx)) ELSE any_value(node) END AS node
+            FROM {prefix}{k} GROUP BY {key}, idx // 16, n)""")
+    return ",\n".join(steps)
+
+
+#: Enough for 16 ** 6 rows a source and 16 ** 3 sources.
+_LEAF_LEVELS, _SOURCE_LEVELS = 6, 3
+
+
+def _merkle_folds() -> str:
+    """One step a level: the siblings join the proof, and the node is folded with them."""
+    steps, last = [], "f"
+    for prefix, key, levels in (("t", "tree", _LEAF_LEVELS), ("u", "one", _SOURCE_LEVELS)):
+        place = "idx" if prefix == "t" else "source_idx"
+        for k in range(levels):
+            name = f"f{prefix}{k}"
+            steps.append(f"""{name} AS (SELECT p.* REPLACE (p.proof || s.l || s.r AS proof,
+                CASE WHEN s.n > 1 THEN sha256(s.l || p.node || s.r) ELSE p.node END AS node)
+                FROM {last} p JOIN {prefix}s{k} s ON p.{key} = s.{key} AND p.{place} // {16**k} = s.idx)""")
+            last = name
+    return ",\n".join(steps)
+
+
+_MERKLE = f"""
+    WITH d AS (
+        SELECT doc_id, coalesce(':' || source, '-') AS tree,
+               {_merkle_field('doc_id')} || {_merkle_field('source')} || {_merkle_field('lang')}
+               || {_merkle_field('n_chars')} AS ahead, {_merkle_field('text')} AS whole,
+               {_merkle_field('text', f"translate(text, '{urls.UPPER}', '{urls.LOWER}')")} AS lower,
+               list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ord(c)),
+                   lambda crc, b: list_reduce([xor(crc, b)] || [0, 0, 0, 0, 0, 0, 0, 0],
+                       lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))) AS crc
+        FROM documents),
+    e AS (SELECT doc_id, tree, xor(crc, 4294967295) % 5 = 0 AS tampered, sha256(ahead || whole) AS leaf,
+                 CASE WHEN tampered THEN sha256(ahead || lower) ELSE leaf END AS folded FROM d),
+    g AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+                 count(*) OVER (PARTITION BY tree) AS n FROM e),
+    t0 AS (SELECT tree, idx, leaf AS node, n FROM g),
+    {_merkle_levels('t', 'tree', _LEAF_LEVELS)},
+    v AS (SELECT tree, node AS subroot, row_number() OVER (ORDER BY tree) - 1 AS source_idx,
+                 count(*) OVER () AS n FROM t{_LEAF_LEVELS}),
+    u0 AS (SELECT 1 AS one, source_idx AS idx, subroot AS node, n FROM v),
+    {_merkle_levels('u', 'one', _SOURCE_LEVELS)},
+    f AS (SELECT doc_id, g.tree, g.idx, source_idx, 1 AS one, leaf, subroot, tampered, folded AS node, '' AS proof
+          FROM g JOIN v USING (tree)),
+    {_merkle_folds()}
+    SELECT doc_id, leaf, subroot, top.node AS root, sha256(proof) AS proof_sha256,
+           last.node AS folded_root, last.node = top.node AS verified, tampered
+    FROM fu{_SOURCE_LEVELS - 1} last JOIN u{_SOURCE_LEVELS} top ON true"""
+
+
 #: Operators that learn, search approximately or hash with XXH64 have no SQL twin; they
 #: are tested against plain Python.
 ORACLE: dict[str, str] = {
@@ -113,6 +199,25 @@ ORACLE: dict[str, str] = {
                coalesce(verdict, CASE WHEN q.name IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
                CASE WHEN rule IS NULL THEN q.name END AS pattern_rule
         FROM p LEFT JOIN b USING (page_id) LEFT JOIN q USING (page_id)""",
+    "op12_merkle_manifest": _MERKLE,
+    "op13_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                     CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+              FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id,
+               CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3""",
     "op4_source_mix": f"""
         WITH d AS (
             SELECT doc_id, source,
