@@ -6,8 +6,10 @@ shape (letters and digits replaced by classes), the shapes of its neighbours and
 words before it. Words of a batch of documents are decoded together by Viterbi in numpy.
 
 The chain of a document is cut behind every ``UNIT`` words, at the next word without a
-digit or an at sign, so memory does not depend on the length of a text and no number is
-cut apart. Neighbouring spans of one kind are decoded as one run, which is cut again: behind
+digit or an at sign, so no number is cut apart. Within a run of numbers longer than
+``RUN`` words it is cut as well; there ``MARGIN`` words on both sides, more than a span can
+have, are decoded with each part and left to their own. Time is linear in a text, memory
+follows the longest one. Neighbouring spans of one kind are decoded as one run, which is cut again: behind
 a word that ends with a comma or semicolon, at an at sign or address each, before an open
 bracket or plus once a number is complete, and where a run holds nothing as a whole, into
 the fewest and most even parts that do. A decoded span has to hold what its kind needs (an at sign, enough digits, a
@@ -19,7 +21,9 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -33,6 +37,10 @@ from tierworks.llm.pii_base import KINDS, base_spans, is_card
 
 LABELS = ("other", *KINDS)
 UNIT = 512
+RUN = 4096
+MARGIN = 40
+# Words a span has at most.
+SPAN_WORDS = 32
 FEATURES = 1024
 STEPS = 150
 RATE = 0.1
@@ -113,7 +121,8 @@ _TO_CLASS = bytes.maketrans(
 )
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 _CUE_OF = {c.encode(): i for i, c in enumerate(CUES, start=1)}
-_EDGES = b".,;:!?\"'()[]{}<>"
+_EDGES = frozenset(b".,;:!?\"'()[]{}<>")
+_EDGES_BEFORE = {"phone": _EDGES - frozenset(b"(")}
 _NONE = b""
 
 
@@ -276,7 +285,8 @@ class Decoder:
         if len(self.rows) > self.MOST_SHAPES:
             self._forget()
         number = self.number
-        units: list[tuple[np.ndarray, int, int]] = []  # scores, text, first word
+        # Scores, text, first word, words decoded ahead of it, words that count.
+        units: list[tuple[np.ndarray, int, int, int, int]] = []
         parts, lengths, owners = [], [], []
         for owner, words in enumerate(texts):
             if not words.shapes:
@@ -298,17 +308,22 @@ class Decoder:
             score[-1] += table[0, 2]
             score += self.cue_scores[0][np.concatenate([[0], cues[:-1]])]
             score += self.cue_scores[1][np.concatenate([[0, 0], cues[:-2]])[: len(cues)]]
-            at = 0
+            at = ahead = 0
             shapes = texts[owner].shapes
             while at < len(ids):
                 to = min(len(ids), at + UNIT)
-                while to < len(ids) and (b"d" in shapes[to] or b"@" in shapes[to]):
+                most = min(len(ids), at + UNIT + RUN)
+                while to < most and (b"d" in shapes[to] or b"@" in shapes[to]):
                     to += 1
-                units.append((score[at:to], owner, at))
+                inside = to < len(ids) and (b"d" in shapes[to] or b"@" in shapes[to])
+                end = min(len(ids), to + MARGIN) if inside else to
+                units.append((score[at - ahead : end], owner, at, ahead, to - at))
+                ahead = min(MARGIN, to - at) if inside else 0
                 at = to
         units.sort(key=lambda u: -len(u[0]))
-        for path, (_, owner, at) in zip(self._viterbi([u[0] for u in units]), units, strict=True):
-            paths[owner][at : at + len(path)] = path
+        found = self._viterbi([u[0] for u in units])
+        for path, (_, owner, at, ahead, size) in zip(found, units, strict=True):
+            paths[owner][at : at + size] = path[ahead : ahead + size]
         return paths
 
     def _viterbi(self, scores: list[np.ndarray]) -> list[np.ndarray]:
@@ -351,10 +366,10 @@ def _holds(kind: str, span: str) -> bool:
 
 
 def _trimmed(kind: str, raw: bytes, start: int, end: int) -> tuple[int, int]:
-    keep_open = b"" if kind != "phone" else b"("
-    while start < end and raw[start : start + 1] in _edge_bytes(keep_open):
+    before = _EDGES_BEFORE.get(kind, _EDGES)
+    while start < end and raw[start] in before:
         start += 1
-    while end > start and raw[end - 1 : end] in _edge_bytes(b""):
+    while end > start and raw[end - 1] in _EDGES:
         end -= 1
     return start, end
 
@@ -367,13 +382,16 @@ def _part(kind: str, raw: bytes, words: list[tuple[int, int]]) -> tuple[int, int
 
 def _parts(kind: str, raw: bytes, words: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The spans of a run of words of one kind."""
-    pieces, at = [], 0
+    pieces, at, digits = [], 0, 0
     for i in range(1, len(words) + 1):
+        digits += sum(48 <= c <= 57 for c in raw[words[i - 1][0] : words[i - 1][1]])
         ended = i == len(words) or raw[words[i - 1][1] - 1 : words[i - 1][1]] in (b",", b";")
         opens = not ended and kind == "phone" and raw[words[i][0] : words[i][0] + 1] in (b"(", b"+")
-        if ended or opens and _part(kind, raw, words[at:i]):
+        # A complete number has at most 15 digits, so longer pieces need no look.
+        complete = opens and i - at <= SPAN_WORDS and digits <= 15 and _part(kind, raw, words[at:i])
+        if ended or complete:
             pieces.append(words[at:i])
-            at = i
+            at, digits = i, 0
     found = []
     for piece in pieces:
         whole = _part(kind, raw, piece)
@@ -393,7 +411,7 @@ def _split(kind: str, raw: bytes, words: list[tuple[int, int]]) -> list[tuple[in
         for j in range(i - 1, -1, -1):
             digits += sum(48 <= c <= 57 for c in raw[words[j][0] : words[j][1]])
             # A number has at most 19 digits; mails and addresses are single words.
-            if digits > 19 and j < i - 1 or kind in ("email", "ip") and j < i - 1 or i - j > 32:
+            if digits > 19 and j < i - 1 or kind in ("email", "ip") and j < i - 1 or i - j > SPAN_WORDS:
                 break
             if part := _part(kind, raw, words[j:i]):
                 (left, parts, uneven), _, _ = best[j]
@@ -408,11 +426,17 @@ def _split(kind: str, raw: bytes, words: list[tuple[int, int]]) -> list[tuple[in
 
 
 def added_spans(raw: bytes, path: np.ndarray, base: list[tuple[int, int, str]]) -> list:
-    """Decoded spans in code points that hold what their kind needs and touch no base span."""
+    """Decoded spans in code points that hold what their kind needs and touch no base span.
+
+    ``base`` ascends by start. Spans are found in order, so bytes become code points in one
+    pass over the text.
+    """
     if not path.any():
         return []
     bounds = [m.span() for m in _WORD.finditer(raw)]
+    starts, ends = [a for a, _, _ in base], list(itertools.accumulate((b for _, b, _ in base), max))
     found, at = [], 0
+    read = points = 0  # bytes, and the code points they are
     while at < len(path):
         to = at + 1
         while to < len(path) and path[to] == path[at]:
@@ -420,19 +444,16 @@ def added_spans(raw: bytes, path: np.ndarray, base: list[tuple[int, int, str]])
         if path[at]:
             kind = LABELS[path[at]]
             for start, end in _parts(kind, raw, bounds[at:to]):
-                text = raw[start:end].decode("utf-8", "replace")
-                first = len(raw[:start].decode("utf-8", "replace"))
-                span = (first, first + len(text), kind)
-                if all(span[1] <= a or span[0] >= b for a, b, _ in base):
-                    found.append(span)
+                first = points + len(raw[read:start].decode("utf-8", "replace"))
+                last = first + len(raw[start:end].decode("utf-8", "replace"))
+                read, points = end, last
+                ahead = bisect.bisect_left(starts, last)
+                if not ahead or ends[ahead - 1] <= first:
+                    found.append((first, last, kind))
         at = to
     return found
 
 
-def _edge_bytes(without: bytes) -> set[bytes]:
-    return {bytes([b]) for b in _EDGES} - {bytes([b]) for b in without}
-
-
 def listed(spans: list[tuple[int, int, str]]) -> str:
     ordered = sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
     return ",".join(f"{kind}:{a}:{b}" for a, b, kind in ordered)
