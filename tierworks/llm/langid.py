@@ -212,7 +212,7 @@ def train(docs: DataFrame) -> Network | None:
     """The network learned from (doc_id, text, lang) of rows that are not held out."""
     usable = docs.select("doc_id", "text", "lang", id_hash(F.col("doc_id"), "lang").alias("order"))
     usable = usable.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = docs.filter(~held_out() & F.col("lang").isNotNull()).groupBy("lang").agg(
+    counts = usable.groupBy("lang").agg(
         F.least(F.lit(1.0), F.lit(DOCS_PER_LANGUAGE) / F.count(F.lit(1))).alias("share")
     )
     # Written first, so that its size is known and the texts are not shuffled to meet it.
