@@ -190,7 +190,7 @@ URLS = [
     "http://best-casino.win.org/a", "http://spam-farm.example.net/en/1", "http://x.org/login",
     "http://x.org/file.exe", "http://a.com://b.net/es/", "http://a.net?x/es/", "://com/",
     "http://examplé.com/en/", "http://a.com/casino", "http://WWW.EXAMPLE.COM/en/", "http:// b.net/fr/",
-    "http://a\n.com/x", "http://www.example.com/en/" + "y" * 30000,
+    "http://a\n.com/x", "http://a.net/login\n", "http://a.net/x.zip\n", "http://a.net/x.zip", "http://www.example.com/en/" + "y" * 30000,
 ]
 
 
@@ -209,7 +209,7 @@ def test_url_rules(spark):
     blocked = {URLS[i] for i in range(len(URLS)) if found[i]["pattern_rule"]}
     assert blocked == {
         "http://casino.org/a", "http://best-casino.win.org/a", "http://spam-farm.example.net/en/1",
-        "http://x.org/login", "http://x.org/file.exe",
+        "http://x.org/login", "http://x.org/file.exe", "http://a.net/x.zip",
     }
 
 
@@ -425,6 +425,16 @@ def test_rare_languages_stay_in_the_training_windows(spark):
         assert tuple(map(found.count, ("en", "fi", "sv"))) == expected
 
 
+def test_a_rare_language_among_empty_texts_is_learned(spark):
+    rows = [(i, None if i % 2 else "...", "fi", "s", 0) for i in range(20_000)]
+    rows += [(30_000 + i, "hyvaa paivaa kaikille talossa " * 6, "fi", "s", 0) for i in range(60)]
+    rows += [(40_000 + i, "the house on the hill was quiet " * 6, "en", "s", 0) for i in range(300)]
+    net = langid.train(spark.createDataFrame(rows, DOC))
+    assert net.languages == ["en", "fi"]
+    found, _ = langid.predict(net, ["hyvaa paivaa talossa", "the quiet house"])
+    assert found == ["fi", "en"]
+
+
 def test_language_nothing_to_learn(spark):
     frame = docs(spark, ["abc", None]).withColumn("lang", F.lit(None).cast("string"))
     assert langid.train(frame) is None
@@ -663,6 +673,35 @@ def test_decoder_finds_the_best_path(field, rng):
 
 # empty tables
 
+def test_long_contact_lists_take_linear_time(field):
+    import time
+
+    line = "mail anna.smith@example.org or (555) 010-2345, 555-010-7788; (c) (d) é 10.0.0.1 and "
+    decoder = pii.Decoder(field)
+
+    def spans(n):
+        text = line * n
+        raw, start = text.encode(), time.perf_counter()
+        base = pii_base.base_spans(text)
+        found = pii.added_spans(raw, decoder.decode([pii.words_of(raw)])[0], base)
+        return found, time.perf_counter() - start, len(text)
+
+    one, _, _ = spans(1)
+    few, short, _ = spans(1000)
+    many, long, size = spans(16000)
+    assert one and len(many) == 16 * len(few) and len(few) >= 999 * len(one)
+    assert size > 1_300_000 and long < 40 * short
+
+
+def test_runs_of_numbers_are_cut_without_losing_a_span(field):
+    text = "call " + ", ".join("(555) 010-2345" for _ in range(6000))
+    raw = text.encode()
+    assert pii.RUN + pii.UNIT < len(raw.split())
+    found = pii.added_spans(raw, pii.Decoder(field).decode([pii.words_of(raw)])[0], [])
+    assert [text[a:b] for a, b, _ in found] == ["(555) 010-2345"] * 6000
+    assert {k for _, _, k in found} == {"phone"}
+
+
 def test_empty_tables(spark, field):
     empty = spark.createDataFrame([], DOC)
     pages = spark.createDataFrame([], "page_id long, url string")

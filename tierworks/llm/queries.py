@@ -96,9 +96,9 @@ _BASE_RULES = ", ".join(
     f"('{n}', '{n.partition('/')[0]}', '/{n.partition('/')[2]}', '{v}')" for n, v in urls.BASE_RULES
 )
 _PATTERNS = ", ".join(
-    [f"('site:{w}', '^([^/]*[.-])?{w}([.-]|/|$)')" for w in urls.BLOCKED_WORDS]
-    + [f"('page:{w}', '/{w}(/|[.]|$)')" for w in urls.BLOCKED_PAGES]
-    + [f"('file:{w}', '[.]{w}$')" for w in urls.BLOCKED_FILES]
+    [rf"('site:{w}', '^([^/]*[.-])?{w}([.-]|/|\z)')" for w in urls.BLOCKED_WORDS]
+    + [rf"('page:{w}', '/{w}(/|[.]|\z)')" for w in urls.BLOCKED_PAGES]
+    + [rf"('file:{w}', '[.]{w}\z')" for w in urls.BLOCKED_FILES]
 )
 
 

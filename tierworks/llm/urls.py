@@ -72,9 +72,9 @@ BLOCKED_FILES = ["exe", "msi", "apk", "zip"]
 def production_rules() -> list[Rule]:
     """The base rules and, at priority 0, one pattern rule for each blocked word."""
     rules = [host_path_rule(n, v) for n, v in BASE_RULES]
-    rules += [Rule(f"site:{w}", "block", rf"^([^/]*[.-])?{w}([.-]|/|$)", [w], 0) for w in BLOCKED_WORDS]
-    rules += [Rule(f"page:{w}", "block", rf"/{w}(/|[.]|$)", [w], 0) for w in BLOCKED_PAGES]
-    rules += [Rule(f"file:{w}", "block", rf"[.]{w}$", [w], 0) for w in BLOCKED_FILES]
+    rules += [Rule(f"site:{w}", "block", rf"^([^/]*[.-])?{w}([.-]|/|\z)", [w], 0) for w in BLOCKED_WORDS]
+    rules += [Rule(f"page:{w}", "block", rf"/{w}(/|[.]|\z)", [w], 0) for w in BLOCKED_PAGES]
+    rules += [Rule(f"file:{w}", "block", rf"[.]{w}\z", [w], 0) for w in BLOCKED_FILES]
     return rules
 
 
