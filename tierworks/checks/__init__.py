@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tierworks.checks import change_queries, synth_queries, tables_queries, text_queries
+from tierworks.checks import (
+    change_queries, name_queries, synth_queries, tables_queries, text_queries,
+)
 
-_MODULES = [tables_queries, text_queries, change_queries, synth_queries]
+_MODULES = [tables_queries, text_queries, change_queries, synth_queries, name_queries]
 
 
 def queries() -> dict:

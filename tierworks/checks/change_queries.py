@@ -11,7 +11,7 @@ from tierworks.checks.tables import AS_OF, RUN_TS, audit_sql, with_views
 from tierworks.checks.tables_queries import ORACLE as TABLE_ORACLE
 from tierworks.checks.text_queries import ORACLE as TEXT_ORACLE
 from tierworks.functions import calendar
-from tierworks.operators import changes, personal_data
+from tierworks.operators import changes, personal_data, retract
 from tierworks.plans import audit, products as pr
 from tierworks.plans.publish import Governance, attach
 from tierworks.plans.refresh import Medallion
@@ -135,6 +135,60 @@ def feed_replay_versions(spark, sf):
     return rebuilt.select(*FEED_COLUMNS, "is_large")
 
 
+def cdc_apply_split(spark, sf):
+    """The same changes, day by day, into buckets of 200 rows that split as they grow."""
+    root = fresh_path(spark, "split")
+    log = _as_changes(tb.read(spark, sf, "events"))
+    for part in range(4):
+        log.filter(F.dayofmonth("ts") % 4 == part).write.mode("append").parquet(f"{root}/log")
+    stream = readers.stream_files(spark, f"{root}/log", log.schema, files_per_trigger=2)
+    return stream_changes.apply_stream(
+        stream, _profiles(spark, sf), f"{root}/target", f"{root}/checkpoint", "user_id",
+        ["ts", "event_id"], bucket_rows=200,
+    )
+
+
+MEASURES = [
+    retract.Measure("order_count", "count"),
+    retract.Measure("customer_values", "count", "nullif(o_custkey % 5, 0)"),
+    retract.Measure("total_price", "sum", "o_totalprice"),
+    retract.Measure("mean_price", "avg", "o_totalprice"),
+    retract.Measure("first_day", "min", "o_orderdate"),
+    retract.Measure("highest_price", "max", "o_totalprice"),
+]
+
+
+def _order_versions(spark, sf) -> list[DataFrame]:
+    """Three states of the orders: inserts, then updates and deletes, then a few of each."""
+    after = _after(spark, sf)
+    few = after.filter(F.col("o_orderkey") % 50 != 7).withColumn(
+        "o_totalprice",
+        F.when(F.col("o_orderkey") % 60 == 1, F.col("o_totalprice") + 100.25).otherwise(F.col("o_totalprice")),
+    )
+    return [_before(spark, sf), after, few]
+
+
+def incremental_view(spark, sf):
+    """Measures by month, brought up to date from three versions of a change feed."""
+    name = f"increments_{uuid.uuid4().hex}"
+    tables = Medallion(spark, name, fresh_path(spark, name))
+    for step in _order_versions(spark, sf):
+        tables.materialized(
+            "silver_orders",
+            lambda t, step=step: pr.bronze(
+                step.withColumns({"data_quality_flag": F.lit("CLEAN"), "order_month": F.trunc("o_orderdate", "month")}),
+                ["o_orderkey"], "shop", RUN_TS),
+            Governance("silver", "Cleaned orders of the shop", "data-engineering", "orders"),
+            key=["o_orderkey"],
+        )
+        tables.incremental(
+            "gold_orders_by_month", "silver_orders", ["order_month", "o_orderstatus"], MEASURES,
+            Governance("gold", "Orders by month and status", "data-engineering", "orders"), bucket_rows=64,
+        )
+        tables.run()
+    return tables.ref("gold_orders_by_month")
+
+
 def gold_guard(spark, sf):
     """What the guard says about a good gold frame and a bad one."""
     people = tb.customers(spark, sf)
@@ -434,7 +488,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         change_feed, change_feed_bucketed, change_replay, row_tracking, cdc_apply, cdc_apply_stream,
-        cdc_apply_late, feed_replay_versions, gold_guard,
+        cdc_apply_late, cdc_apply_split, feed_replay_versions, incremental_view, gold_guard,
         bronze_events_stream, dedupe_replay, incremental_consume, csv_round_trip, clustered_write,
         file_inventory, mirror_tables, mirror_verify, medallion_refresh, bronze_reviews_stream,
         review_tables_refresh, account_tables_refresh, table_audit, audit_bad_table, frame_audit,
@@ -530,6 +584,18 @@ ORACLE = {
     "cdc_apply": _APPLIED,
     "cdc_apply_stream": _APPLIED,
     "cdc_apply_late": _APPLIED,
+    "cdc_apply_split": _APPLIED,
+    "incremental_view":
+        f"""WITH few AS (
+                SELECT * REPLACE (CASE WHEN o_orderkey % 60 = 1 THEN o_totalprice + 100.25
+                                       ELSE o_totalprice END AS o_totalprice)
+                FROM ({_AFTER}) WHERE o_orderkey % 50 <> 7)
+            SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS order_month, o_orderstatus,
+                   count(*) AS order_count, count(nullif(o_custkey % 5, 0)) AS customer_values,
+                   CAST(sum(CAST(o_totalprice AS DECIMAL(38, 2))) AS DOUBLE) AS total_price,
+                   CAST(sum(CAST(o_totalprice AS DECIMAL(38, 2))) AS DOUBLE) / count(*) AS mean_price,
+                   min(o_orderdate) AS first_day, max(o_totalprice) AS highest_price
+            FROM few GROUP BY ALL""",
     "feed_replay_versions": f"SELECT *, o_totalprice > 200000 AS is_large FROM ({_AFTER})",
     "gold_guard":
         """SELECT * FROM (VALUES ('date_of_birth', 'DOB', 'name', 'bad'),

@@ -199,6 +199,18 @@ def attach(
     spark.catalog.refreshTable(table)
 
 
+def publish_view(
+    spark: SparkSession, view: str, query: str, columns: Sequence[str], governance: Governance
+) -> None:
+    """Replace the catalog view ``view`` in one statement, with its comment and descriptions."""
+    docs = governance.column_docs(columns)
+    listed = ", ".join(f"`{c}`" + (f" COMMENT {quoted(docs[c])}" if c in docs else "") for c in columns)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {view} ({listed}) COMMENT {quoted(governance.table_comment(columns))} "
+        f"TBLPROPERTIES ({_pairs(governance.table_properties(columns))}) AS {query}"
+    )
+
+
 def read_properties(spark: SparkSession, table: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 

@@ -9,8 +9,9 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierworks.operators import changes, quality, shape
-from tierworks.plans.publish import Governance, attach, read_location, stage
+from tierworks.operators import changes, personal_data, quality, retract, shape
+from tierworks.plans.incremental import IncrementalView
+from tierworks.plans.publish import Governance, attach, publish_view, read_location, stage
 from tierworks.session import delete_folder, shared_folder, subfolders
 from tierworks.sources.sinks import clustered
 from tierworks.streaming import bronze
@@ -30,6 +31,8 @@ class Dataset:
     track: bool = False
     retain_on: str | None = None
     run_date: str | None = None
+    view: IncrementalView | None = None
+    source: str | None = None
 
 
 def folder_version(location: str) -> int:
@@ -93,10 +96,32 @@ class Medallion:
             raise ValueError(f"{name}: an append-only table keeps its rows; retain downstream")
         self._declare(Dataset(name, build, governance))
 
+    def incremental(
+        self, name: str, source: str, by: Sequence[str], measures: Sequence[retract.Measure],
+        governance: Governance, **settings,
+    ) -> None:
+        """Declare measures of ``source``, a table with a change feed, that every refresh
+        brings up to date from the changes alone; readers see a catalog view."""
+        if source not in self.datasets or not self.datasets[source].feed:
+            raise ValueError(f"{name}: {source} has no change feed")
+        if governance.layer == "gold":
+            personal_data.check_gold([*by, *(m.name for m in measures)])
+        view = IncrementalView(self.spark, f"{self.root}/{name}", by, measures, **settings)
+        self._declare(Dataset(name, lambda t: view.read(), governance, view=view, source=source))
+
     def run(self, *names: str) -> list[dict]:
         """Refresh the named tables, or all, in declared order; one report per table."""
         wanted = [d for n, d in self.datasets.items() if not names or n in names]
-        return [self._stream(d) if d.governance.streaming else self._refresh(d) for d in wanted]
+        kinds = {True: self._stream, False: self._refresh}
+        return [self._increment(d) if d.view else kinds[d.governance.streaming](d) for d in wanted]
+
+    def _increment(self, dataset: Dataset) -> dict:
+        view, source = dataset.view, dataset.source
+        number = folder_version(read_location(self.spark, self.table(source)))
+        feed = self.changes(source, since=view.version()) if number > view.version() else None
+        counts = view.refresh(feed, self.ref(source), number) if feed is not None else {}
+        publish_view(self.spark, self.table(dataset.name), view.sql(), view.read().columns, dataset.governance)
+        return {"table": dataset.name, "path": view.path, "version": number, **counts}
 
     def _stream(self, dataset: Dataset) -> dict:
         df = dataset.build(self)
@@ -166,8 +191,9 @@ class Medallion:
             f"{self.feed_path(dataset.name)}/version={version}"
         )
 
-    def changes(self, name: str) -> DataFrame:
-        """All published changes of a table, with the columns of every layout it had.
+    def changes(self, name: str, since: int = 0) -> DataFrame:
+        """All published changes of a table after version ``since``, with the columns of
+        every layout it had.
 
         ``version`` tells refreshes apart; changes of a refresh that has not been
         published yet are left out. A column whose type changed has its last type.
@@ -176,7 +202,7 @@ class Medallion:
             read_location(self.spark, self.table(name)))
         numbers = sorted(int(n.partition("=")[2]) for n in subfolders(self.spark, path))
         found = None
-        for number in (n for n in numbers if n <= published):
+        for number in (n for n in numbers if since < n <= published):
             part = self.spark.read.parquet(f"{path}/version={number}").withColumn(
                 "version", F.lit(number))
             found = part if found is None else DataFrame.unionByName(*changes.aligned(found, part))
@@ -191,7 +217,7 @@ class Medallion:
         """
         gone = []
         for name, dataset in self.datasets.items():
-            if dataset.governance.streaming or not self.spark.catalog.tableExists(self.table(name)):
+            if dataset.governance.streaming or dataset.view or not self.spark.catalog.tableExists(self.table(name)):
                 continue
             folder = f"{self.root}/{name}"
             live = read_location(self.spark, self.table(name)).rsplit("/", 1)[1]

@@ -7,26 +7,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierworks.operators import changes
-from tierworks.session import delete_folder, subfolders
+from tierworks.session import subfolders
+from tierworks.sources import directory as dr
 
 
-BUCKETS = 64
 KEEP_VERSIONS = 3
 
 
-def _manifest(spark: SparkSession, path: str, version: int) -> dict[int, int]:
-    """The version in which each bucket was last written; at most one row per bucket."""
-    if f"manifest={version}" not in subfolders(spark, path):
-        raise FileNotFoundError(f"version {version} of {path} is missing")
-    rows = spark.read.parquet(f"{path}/manifest={version}").collect()
-    return {r["bucket"]: r["version"] for r in rows}
-
-
-def _read_buckets(spark: SparkSession, path: str, schema, places: dict[int, int]) -> DataFrame:
-    folders = [f"{path}/version={v}/_bucket={b}" for b, v in sorted(places.items())]
-    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
-
-
 def apply_stream(
     stream: DataFrame,
     initial: DataFrame,
@@ -35,17 +22,19 @@ def apply_stream(
     key: Sequence[str] | str,
     sequence: Sequence[str] | str,
     kind: str = changes.CHANGE_COLUMN,
-    buckets: int = BUCKETS,
+    buckets: int = 1,
+    bucket_rows: int = dr.BUCKET_ROWS,
     keep: int = KEEP_VERSIONS,
 ) -> DataFrame:
     """Merge all available changes into a versioned target below ``path``; returns it.
 
     The target lies in hash buckets of the key, with the sequence of every row and
     tombstones of deleted ones, so the result does not depend on how changes fall into
-    batches. Batch ``n`` rewrites the buckets it has changes for and writes a manifest
-    that names the version of every bucket. A batch repeated after a failure rewrites
-    its own version from the same input. Versions that the last ``keep`` manifests do
-    not name are removed.
+    batches. Batch ``n`` rewrites the buckets it has changes for, splits those that could
+    come to more than ``bucket_rows`` rows, and writes a directory of all buckets; it
+    starts with ``buckets`` buckets, or as many as the first rows need. A batch repeated
+    after a failure rewrites its own version from the same input. Versions that the last
+    ``keep`` directories do not name are removed.
     """
     spark = stream.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
@@ -55,29 +44,22 @@ def apply_stream(
         "*", F.lit(None).cast(sequence_type).alias("_seq"), F.lit(False).alias("_deleted")
     )
     schema = fresh.schema
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
     def merge(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        places = _manifest(session, path, number - 1) if number else {}
         if number:
-            touched = {r[0] for r in batch.select(bucket).distinct().collect()}
-            state = _read_buckets(
-                session, path, schema, {b: v for b, v in places.items() if b in touched}
-            )
+            before = dr.read(session, path, number - 1)
+            changed = dr.touched(batch, before, keys)
+            state = dr.rows_of(session, path, schema, before, list(changed))
         else:
+            before = dr.Directory.of_size(fresh.count() + batch.count(), bucket_rows, buckets)
+            changed = dict.fromkeys(before.entries, 0)
             state = fresh
+        planned = {b: before.entries[b].rows + n for b, n in changed.items()}
+        after = before.split(planned, bucket_rows)
         merged = changes.merge_state(state, batch, keys, order, kind)
-        target = f"{path}/version={number}"
-        merged.withColumn("_bucket", bucket).repartition("_bucket").write.mode(
-            "overwrite"
-        ).partitionBy("_bucket").parquet(target)
-        written = [n for n in subfolders(session, target) if n.startswith("_bucket=")]
-        places |= {int(n.partition("=")[2]): number for n in written}
-        session.createDataFrame(list(places.items()), "bucket int, version int").coalesce(
-            1
-        ).write.mode("overwrite").parquet(f"{path}/manifest={number}")
-        _forget(session, path, number, keep)
+        dr.write(merged, path, number, before, after, list(changed), keys)
+        dr.forget(session, path, number, keep)
 
     query = (
         stream.writeStream.foreachBatch(merge)
@@ -89,24 +71,10 @@ def apply_stream(
     number = last_batch(spark, checkpoint)
     if number < 0:
         return initial
-    living = _read_buckets(spark, path, schema, _manifest(spark, path, number)).filter("NOT _deleted")
+    living = dr.rows_of(spark, path, schema, dr.read(spark, path, number)).filter("NOT _deleted")
     return living.select(*initial.columns)
 
 
-def _forget(spark: SparkSession, path: str, number: int, keep: int) -> None:
-    """Remove manifests older than the last ``keep`` and versions none of those names."""
-    names = subfolders(spark, path)
-    manifests = sorted(int(n.partition("=")[2]) for n in names if n.startswith("manifest="))
-    kept = [m for m in manifests if number - keep < m <= number]
-    named = {v for m in kept for v in _manifest(spark, path, m).values()} | {number}
-    for m in manifests:
-        if m <= number - keep:
-            delete_folder(spark, f"{path}/manifest={m}")
-    for n in names:
-        if n.startswith("version=") and (v := int(n.partition("=")[2])) < number and v not in named:
-            delete_folder(spark, f"{path}/version={v}")
-
-
 def last_batch(spark: SparkSession, checkpoint: str) -> int:
     """Number of the newest batch the checkpoint has committed, -1 if there is none."""
     if "commits" not in subfolders(spark, checkpoint):
