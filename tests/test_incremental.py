@@ -159,3 +159,44 @@ def test_buckets_split_as_they_grow_and_untouched_ones_stay(spark, folder):
     assert len(last.entries) > 16  # what the first 600 rows need
     assert max(e.rows for e in last.entries.values()) <= 100
     assert sum(e.version == numbers[-1] for e in last.entries.values()) <= 2  # the last batch has one key
+
+
+def test_digests_tell_which_buckets_changed(spark):
+    schema = "k int, a string, b string, t double"
+    old = spark.createDataFrame([(i, "x", None, 1.0) for i in range(1000)], schema)
+    new = old.filter("k <> 7").withColumns({
+        # A value that moves to another column changes no hash of values alone.
+        "a": F.when(F.col("k") == 11, None).otherwise(F.col("a")), "b": F.when(F.col("k") == 11, "x"),
+        "t": F.when(F.col("k") == 13, -1.0).otherwise(F.col("t")),
+    }).union(spark.createDataFrame([(5000, "n", "n", 0.0)], schema))
+    one, two = (changes.digests(df, "k", 256) for df in (old, new))
+    changed = {r["_bucket"] for r in changes.changed_buckets(one, two).collect()}
+    keys = spark.createDataFrame([(7,), (11,), (13,), (5000,)], "k int")
+    assert changed == {r[0] for r in keys.select(changes.key_bucket(["k"], 256)).collect()}
+    found = changes.diff_changed(old, new, "k", changes.changed_buckets(one, two), 256)
+    assert rows(found) == rows(changes.diff(old, new, "k"))
+    assert changes.changed_buckets(one, changes.digests(old, "k", 256)).count() == 0
+    # Columns that are ignored make no difference, NULL keys and maps are fine.
+    stamped = old.withColumn("t", F.lit(9.0))
+    assert changes.changed_buckets(*(changes.digests(df, "k", 8, ["t"]) for df in (old, stamped))).count() == 0
+    odd = spark.createDataFrame([(None, {"a": 1}), (1, None)], "k int, m map<string,int>")
+    assert changes.changed_buckets(changes.digests(odd, "k", 8), changes.digests(odd.limit(0), "k", 8)).count() >= 1
+
+
+def test_refresh_joins_only_changed_buckets(spark, folder, monkeypatch):
+    monkeypatch.setattr(changes, "DIGEST_ROWS", 10)
+    tables = Medallion(spark, "digest_test", folder)
+    joined = []
+    whole, part = changes.diff, changes.diff_changed
+    monkeypatch.setattr(changes, "diff", lambda old, new, *a, **k: joined.append(old.count() + new.count()) or whole(old, new, *a, **k))
+    monkeypatch.setattr(changes, "diff_changed", part)
+    states = [spark.range(3000).selectExpr("id", "'a' AS v")]
+    states += [states[0], states[0].withColumn("v", F.when(F.col("id") == 77, "b").otherwise(F.col("v"))).filter("id <> 99")]
+    states += [states[2].withColumn("more", F.lit(1)), states[2].withColumn("more", F.lit(1))]
+    for state in states:
+        df = state.withColumns({"data_quality_flag": F.lit("CLEAN"), "audit_timestamp": F.current_timestamp(), "source_system": F.lit("s")})
+        tables.materialized("silver_d", lambda t, df=df: df, Governance("silver", "D", "data-engineering", "d"), key=["id"])
+        tables.run()
+    assert joined[0] == 3000 and joined[1] == 0 and 0 < joined[2] < 200 and joined[3] > 5000 and joined[4] == 0
+    feed = tables.changes("silver_d").groupBy("version", "_change_type").count()
+    assert rows(feed)[:4] == [(1, "insert", 3000), (3, "delete", 1), (3, "update_postimage", 1), (3, "update_preimage", 1)]

@@ -53,6 +53,14 @@ def change_feed_bucketed(spark, sf):
     )
 
 
+def change_feed_digests(spark, sf):
+    """The same from digests of key buckets: only buckets that differ are joined."""
+    before, after = _before(spark, sf), _after(spark, sf)
+    buckets = changes.buckets_for(after.count(), 20)
+    sides = [changes.digests(df, "o_orderkey", buckets) for df in (before, after)]
+    return changes.diff_changed(before, after, "o_orderkey", changes.changed_buckets(*sides), buckets)
+
+
 def change_replay(spark, sf):
     feed = changes.diff(_before(spark, sf), _after(spark, sf), "o_orderkey")
     return changes.replay(_before(spark, sf), feed, "o_orderkey")
@@ -487,7 +495,7 @@ def pii_table_labels(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        change_feed, change_feed_bucketed, change_replay, row_tracking, cdc_apply, cdc_apply_stream,
+        change_feed, change_feed_bucketed, change_feed_digests, change_replay, row_tracking, cdc_apply, cdc_apply_stream,
         cdc_apply_late, cdc_apply_split, feed_replay_versions, incremental_view, gold_guard,
         bronze_events_stream, dedupe_replay, incremental_consume, csv_round_trip, clustered_write,
         file_inventory, mirror_tables, mirror_verify, medallion_refresh, bronze_reviews_stream,
@@ -575,6 +583,7 @@ _PROFILE = " UNION ALL ".join(
 ORACLE = {
     "change_feed": f"WITH b AS ({_BEFORE}), a AS ({_AFTER}) {_FEED}",
     "change_feed_bucketed": f"WITH b AS ({_BEFORE}), a AS ({_AFTER}) {_FEED}",
+    "change_feed_digests": f"WITH b AS ({_BEFORE}), a AS ({_AFTER}) {_FEED}",
     "change_replay": _AFTER,
     "row_tracking":
         f"""WITH b AS ({_BEFORE}), a AS ({_AFTER})

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tierworks.operators import changes, personal_data, quality, retract, shape
 from tierworks.plans.incremental import IncrementalView
 from tierworks.plans.publish import Governance, attach, publish_view, read_location, stage
-from tierworks.session import delete_folder, shared_folder, subfolders
+from tierworks.session import delete_folder, fresh_path, shared_folder, subfolders
 from tierworks.sources.sinks import clustered
 from tierworks.streaming import bronze
 
@@ -178,18 +178,49 @@ class Medallion:
         self, dataset: Dataset, path: str, df: DataFrame, version: int, exists: bool
     ) -> None:
         """Every row of the first version is an insert; a new layout is compared over the
-        columns of both, so no change is ever left out of the feed."""
+        columns of both, so no change is ever left out of the feed.
+
+        Digests of key buckets are kept with every version. Where both versions have the
+        same columns, only rows of buckets whose digests differ are joined, and a refresh
+        that changed nothing compares no row.
+        """
         after = self.spark.read.schema(df.schema).parquet(path)
         before = self.spark.table(self.table(dataset.name)) if exists else after.limit(0)
-        before, after = changes.aligned(before, after)
         ignored = [*shape.AUDIT_COLUMNS, "row_version"]
-        feed = changes.diff(before, after, dataset.key, ignore=ignored)
+        target = f"{self.feed_path(dataset.name)}/version={version}"
+        buckets, known = self._digests(dataset.name, version - 1) if exists else (0, None)
+        columns = lambda frame: [(f.name, f.dataType) for f in frame.schema.fields]
+        rows = after.count()
+        if known is None or columns(before) != columns(after) or not rows <= 4 * buckets * changes.DIGEST_ROWS:
+            buckets, known = changes.buckets_for(rows), None
+        folder = f"{self.root}/{dataset.name}/digests/version={version}"
+        made = changes.digests(after, dataset.key, buckets, ignored)
+        made.withColumn("buckets", F.lit(buckets)).write.mode("overwrite").parquet(folder)
+        if known is None:
+            before, after = changes.aligned(before, after)
+            feed = changes.diff(before, after, dataset.key, ignore=ignored)
+        else:
+            now = self.spark.read.parquet(folder).drop("buckets")
+            changed = self._kept(changes.changed_buckets(known, now), "changed-buckets")
+            feed = changes.diff_changed(before, after, dataset.key, changed, buckets, ignored)
         # One folder per version: a refresh that died before it published is repeated
         # under the same number and replaces its part of the feed. The feed comes before
         # the table, so consumers may see a change twice after such a death, never miss one.
-        feed.write.mode("overwrite").parquet(
-            f"{self.feed_path(dataset.name)}/version={version}"
-        )
+        feed.write.mode("overwrite").parquet(target)
+
+    def _digests(self, name: str, version: int) -> tuple[int, DataFrame | None]:
+        """The number of key buckets of a version and their digests, None where there are none."""
+        folder = f"{self.root}/{name}/digests"
+        if f"version={version}" not in subfolders(self.spark, folder):
+            return 0, None
+        found = self.spark.read.parquet(f"{folder}/version={version}")
+        first = found.select("buckets").first()
+        return (first["buckets"], found.drop("buckets")) if first else (0, None)
+
+    def _kept(self, df: DataFrame, label: str) -> DataFrame:
+        path = fresh_path(self.spark, label)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def changes(self, name: str, since: int = 0) -> DataFrame:
         """All published changes of a table after version ``since``, with the columns of
