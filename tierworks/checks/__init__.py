@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from tierworks.checks import (
-    change_queries, name_queries, synth_queries, tables_queries, text_queries,
+    change_queries, learned_queries, name_queries, synth_queries, tables_queries, text_queries,
 )
 
-_MODULES = [tables_queries, text_queries, change_queries, synth_queries, name_queries]
+_MODULES = [tables_queries, text_queries, change_queries, synth_queries, name_queries, learned_queries]
 
 
 def queries() -> dict:
