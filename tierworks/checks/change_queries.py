@@ -11,7 +11,7 @@ from tierworks.checks.tables import AS_OF, RUN_TS, audit_sql, with_views
 from tierworks.checks.tables_queries import ORACLE as TABLE_ORACLE
 from tierworks.checks.text_queries import ORACLE as TEXT_ORACLE
 from tierworks.functions import calendar
-from tierworks.operators import changes, personal_data, retract
+from tierworks.operators import changes, drift, personal_data, retract
 from tierworks.plans import audit, products as pr
 from tierworks.plans.publish import Governance, attach
 from tierworks.plans.refresh import Medallion
@@ -197,6 +197,53 @@ def incremental_view(spark, sf):
     return tables.ref("gold_orders_by_month")
 
 
+PRICES = [25000.0, 50000.0, 100000.0, 150000.0, 200000.0, 300000.0]
+
+
+def _histograms(spark, sf):
+    return [drift.histograms(df, ["o_orderstatus", "o_orderpriority"], {"o_totalprice": PRICES})
+            for df in (_before(spark, sf), _after(spark, sf))]
+
+
+def drift_versions(spark, sf):
+    """How far the orders moved between two versions."""
+    return drift.compare(*_histograms(spark, sf))
+
+
+def drift_labels(spark, sf):
+    """The days of one version that the other lacks, as labels."""
+    days = [drift.histograms(df, ["o_orderdate"], {}) for df in (_before(spark, sf), _after(spark, sf))]
+    return drift.moved_labels(*days)
+
+
+EMAIL_POLICY = {
+    "email": {"full": "email", "partial": "concat(left(trim(email), 3), '***')", "none": "'***'"},
+    "phone": {"full": "phone", "none": "CAST(NULL AS STRING)"},
+}
+
+
+def granted_view(spark, sf):
+    """One view, read without a grant, with a partial and with a full one."""
+    database = f"granted_{uuid.uuid4().hex}"
+    root = fresh_path(spark, database)
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}'")
+    people, grants = f"{database}.customers", f"{database}.grants"
+    tb.customers(spark, sf).select("customer_id", "email", "phone").write.option(
+        "path", f"{root}/people").format("parquet").saveAsTable(people)
+    spark.sql(f"CREATE TABLE {grants} (user_name STRING, table_name STRING, level STRING) USING parquet LOCATION '{root}/grants'")
+    personal_data.granted_view(spark, f"{database}.shown", people, EMAIL_POLICY, grants)
+    found = None
+    for level in ("none", "partial", "full"):
+        if level != "none":
+            spark.sql(f"INSERT INTO {grants} SELECT current_user(), '{people}', '{level}'")
+        seen = spark.table(f"{database}.shown").withColumn("granted", F.lit(level))
+        # Written, since a view shows what is granted when it is read.
+        seen.write.parquet(f"{root}/seen-{level}")
+        seen = spark.read.schema(seen.schema).parquet(f"{root}/seen-{level}")
+        found = seen if found is None else found.unionByName(seen)
+    return found
+
+
 def gold_guard(spark, sf):
     """What the guard says about a good gold frame and a bad one."""
     people = tb.customers(spark, sf)
@@ -497,6 +544,7 @@ QUERIES = {
     for f in (
         change_feed, change_feed_bucketed, change_feed_digests, change_replay, row_tracking, cdc_apply, cdc_apply_stream,
         cdc_apply_late, cdc_apply_split, feed_replay_versions, incremental_view, gold_guard,
+        drift_versions, drift_labels, granted_view,
         bronze_events_stream, dedupe_replay, incremental_consume, csv_round_trip, clustered_write,
         file_inventory, mirror_tables, mirror_verify, medallion_refresh, bronze_reviews_stream,
         review_tables_refresh, account_tables_refresh, table_audit, audit_bad_table, frame_audit,
@@ -605,6 +653,32 @@ ORACLE = {
                    CAST(sum(CAST(o_totalprice AS DECIMAL(38, 2))) AS DOUBLE) / count(*) AS mean_price,
                    min(o_orderdate) AS first_day, max(o_totalprice) AS highest_price
             FROM few GROUP BY ALL""",
+    "drift_versions": f"""
+        WITH o AS (SELECT 'a' AS side, * FROM ({_BEFORE}) UNION ALL SELECT 'b', * FROM ({_AFTER})),
+        v AS (SELECT side, 'o_orderstatus' AS column_name, 'label' AS kind, o_orderstatus AS value FROM o
+              UNION ALL SELECT side, 'o_orderpriority', 'label', o_orderpriority FROM o
+              UNION ALL SELECT side, 'o_totalprice', 'number', 'bin ' || ({
+                  " + ".join(f"CAST(o_totalprice > {x} AS INTEGER)" for x in PRICES)}) FROM o),
+        h AS (SELECT column_name, kind, value, count(*) FILTER (side = 'a') AS a, count(*) FILTER (side = 'b') AS b
+              FROM v GROUP BY ALL),
+        s AS (SELECT *, greatest(a / sum(a) OVER w, 1e-6) AS p, greatest(b / sum(b) OVER w, 1e-6) AS q
+              FROM h WINDOW w AS (PARTITION BY column_name))
+        SELECT column_name, kind, round(sum((q - p) * ln(q / p)), 6) AS psi,
+               round(sum((p * log2(2 * p / (p + q)) + q * log2(2 * q / (p + q))) / 2), 6) AS js,
+               count(*) FILTER (kind = 'label' AND a = 0) AS new_labels,
+               count(*) FILTER (kind = 'label' AND b = 0) AS gone_labels,
+               psi >= 0.2 OR new_labels + gone_labels > 0 AS drifted
+        FROM s GROUP BY column_name, kind""",
+    "drift_labels": f"""
+        WITH a AS (SELECT o_orderdate AS d, count(*) AS n FROM ({_BEFORE}) GROUP BY 1),
+        b AS (SELECT o_orderdate AS d, count(*) AS n FROM ({_AFTER}) GROUP BY 1)
+        SELECT 'o_orderdate' AS column_name, CAST(d AS VARCHAR) AS value, 'new' AS change, n FROM b ANTI JOIN a USING (d)
+        UNION ALL SELECT 'o_orderdate', CAST(d AS VARCHAR), 'gone', n FROM a ANTI JOIN b USING (d)""",
+    "granted_view": with_views("""
+        SELECT customer_id, granted, CASE granted WHEN 'full' THEN email
+                   WHEN 'partial' THEN left(trim(email), 3) || '***' ELSE '***' END AS email,
+               CASE granted WHEN 'full' THEN phone END AS phone
+        FROM customers, (VALUES ('none'), ('partial'), ('full')) AS g(granted)""", "customers"),
     "feed_replay_versions": f"SELECT *, o_totalprice > 200000 AS is_large FROM ({_AFTER})",
     "gold_guard":
         """SELECT * FROM (VALUES ('date_of_birth', 'DOB', 'name', 'bad'),

@@ -303,6 +303,35 @@ def global_count(spark, sf):
     return tb.read(spark, sf, "lineitem").agg(F.count("*").alias("row_count"))
 
 
+def fk_check_bitmap(spark, sf):
+    """The same references by bitmaps of their keys."""
+    docs = tb.read(spark, sf, "documents").filter("lang = 'en'")
+    asia = tb.customers(spark, sf).filter("region <> 'ASIA'")
+    checked = [
+        ("labels", tb.read(spark, sf, "labels"), docs, "doc_id", "doc_id"),
+        ("orders", tb.read(spark, sf, "orders"), asia, "o_custkey", "customer_id"),
+        ("lineitem", tb.read(spark, sf, "lineitem"), tb.products(spark, sf), "l_partkey", "product_id"),
+    ]
+    found = None
+    for name, child, parent, key, parent_key in checked:
+        part = joins.orphans_by_bitmap(child, parent, key, parent_key)
+        part = part.select(F.lit(name).alias("reference"), F.col(key).alias("key"), "row_count")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def count_distinct_merged(spark, sf):
+    """Users by event type from daily sketches, held against the exact count."""
+    events = tb.read(spark, sf, "events")
+    daily = aggregates.distinct_sketches(
+        events.withColumn("day", F.to_date("ts")), ["day", "event_type"], "user_id", "users")
+    merged = aggregates.merged_distinct(daily, ["event_type"], "users", "estimate")
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("user_count"))
+    off = F.abs(F.col("estimate") - F.col("user_count"))
+    within = off <= F.col("user_count") * aggregates.sketch_error()
+    return exact.join(merged, "event_type").select("event_type", "user_count", within.alias("within_error"))
+
+
 def count_distinct(spark, sf):
     e = tb.read(spark, sf, "events")
     return e.groupBy("event_type").agg(aggregates.distinct_count("user_id").alias("user_count"))
@@ -340,7 +369,8 @@ QUERIES = {
         pii_scan_documents, pii_scan_pages, dq_flag, expect_drop, expect_fail, drift_report,
         label_domain, quality_summary, snake_case_columns, column_order, sample_deterministic,
         conditional_concat, full_name, category_map, min_length_gate, nullable_predicate, retention,
-        fk_check, join_dim_inner, join_dim_hot, group_count, global_count, count_distinct,
+        fk_check, fk_check_bitmap, join_dim_inner, join_dim_hot, group_count, global_count,
+        count_distinct, count_distinct_merged,
         avg_rounded, sum_by_dims, conditional_pct, label_share,
     )
 }
@@ -529,6 +559,9 @@ ORACLE = {
            UNION ALL
            SELECT 'lineitem', l_partkey, count(*) FROM lineitem WHERE l_partkey NOT IN
            (SELECT p_partkey FROM part) GROUP BY l_partkey""", "customers"),
+    "count_distinct_merged":
+        """SELECT event_type, count(DISTINCT user_id) AS user_count, true AS within_error
+           FROM events GROUP BY event_type""",
     "join_dim_inner": with_views(
         """SELECT o_orderkey, customer_id, region, customer_segment
            FROM orders JOIN customers ON o_custkey = customer_id""", "customers"),
@@ -555,3 +588,4 @@ ORACLE = {
            round(CAST(count(*) AS DOUBLE) * 100 / sum(count(*)) OVER (PARTITION BY user_id), 1)
              AS share_pct FROM events GROUP BY user_id, event_type""",
 }
+ORACLE["fk_check_bitmap"] = ORACLE["fk_check"]

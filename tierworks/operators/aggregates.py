@@ -36,3 +36,26 @@ def daily_total(df: DataFrame, moment: str, amount: Column, name: str) -> DataFr
 def distinct_count(column: str, exact: bool = True, error: float = 0.01) -> Column:
     """Exact distinct count, or a sketch of fixed size for very large groups."""
     return F.count_distinct(column) if exact else F.approx_count_distinct(column, error)
+
+
+# Relative error of a sketch of 2 ** lg registers (one standard deviation): 1.6 percent.
+SKETCH_LG = 12
+
+
+def distinct_sketches(df: DataFrame, by: Sequence[str], column: str, name: str, lg: int = SKETCH_LG) -> DataFrame:
+    """One sketch of ``column`` for every ``by`` group, say day and region, to be kept in gold.
+
+    Sketches can be merged: ``merged_distinct`` counts over any of the groups together
+    without the rows. NULLs are not counted.
+    """
+    return df.groupBy(*by).agg(F.hll_sketch_agg(column, F.lit(lg)).alias(name))
+
+
+def merged_distinct(sketches: DataFrame, by: Sequence[str], name: str, out: str) -> DataFrame:
+    """Distinct values over all sketches of each ``by`` group."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg(name)).alias(out))
+
+
+def sketch_error(lg: int = SKETCH_LG, deviations: float = 3.0) -> float:
+    """The relative error that ``deviations`` standard deviations come to."""
+    return deviations * 1.04 / 2 ** (lg / 2)

@@ -66,6 +66,33 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     return counted.join(known, child_key, "left_anti")
 
 
+def orphans_by_bitmap(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
+    """``orphans`` for integer keys, of which only those near an orphan are shuffled.
+
+    Both sides first come to one bitmap for 32,768 neighbouring keys, made where rows are
+    read. Where the child adds bits to the parent's bitmap there are orphans; the keys of
+    these ranges alone are joined, and without an orphan none is.
+    """
+    ranges = lambda df, key: df.filter(F.col(key).isNotNull()).select(
+        F.expr(f"bitmap_bucket_number(CAST(`{key}` AS BIGINT))").alias("_range"),
+        F.expr(f"bitmap_bit_position(CAST(`{key}` AS BIGINT))").alias("_bit"),
+    )
+    bits = F.bitmap_construct_agg("_bit")
+    known = ranges(parent, parent_key).groupBy("_range").agg(bits.alias("known"))
+    asked = ranges(child, child_key).groupBy("_range").agg(bits.alias("asked"))
+    both = asked.join(known, "_range", "left")
+    # The union of both has more bits than the parent alone where the child has others.
+    sides = both.select("_range", F.explode(F.array("asked", "known")).alias("bits"), "known")
+    counted = sides.filter("bits IS NOT NULL").groupBy("_range").agg(
+        F.bitmap_count(F.bitmap_or_agg("bits")).alias("all"), F.max(F.coalesce(F.bitmap_count("known"), F.lit(0))).alias("had")
+    )
+    suspect = counted.filter(F.col("all") > F.col("had")).select("_range")
+    near = lambda df, key: df.filter(F.col(key).isNotNull()).withColumn(
+        "_range", F.expr(f"bitmap_bucket_number(CAST(`{key}` AS BIGINT))")
+    ).join(suspect, "_range", "left_semi").drop("_range")
+    return orphans(near(child, child_key), near(parent, parent_key), child_key, parent_key)
+
+
 def count_then_name(
     fact: DataFrame,
     dimension: DataFrame,

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tierworks.functions.masking import TEXT_PATTERNS, count_matches, has_match
+from tierworks.functions.masking import ACCESS_LEVELS, TEXT_PATTERNS, count_matches, has_match
 
 # Name patterns, class and risk of personal columns.
 NAME_CLASSES: list[tuple[str, tuple[str, ...], str]] = [
@@ -124,6 +124,42 @@ def masked(df: DataFrame, policy: Mapping[str, Mapping[str, Column]], access: st
     return df.select(*shown)
 
 
+def granted_view(
+    spark: SparkSession, view: str, table: str, policy: Mapping[str, Mapping[str, str]], grants: str
+) -> None:
+    """Create ``view``: ``table`` as the person who queries it may see it.
+
+    ``policy`` maps a column to SQL for each access level, ``grants`` names a table
+    (user_name, table_name, level). The level is looked up when the view is read, for
+    ``current_user()``: a changed grant changes what the same view shows. The highest of
+    several grants counts, unknown levels and users without a grant see level ``none``, which
+    every column needs.
+    """
+    columns = spark.table(table).columns
+    unknown = [c for c in policy if c not in columns]
+    if unknown:
+        raise ValueError(f"policy names columns that do not exist: {unknown}")
+    open_ended = [c for c, shown in policy.items() if "none" not in shown]
+    if open_ended:
+        raise ValueError(f"policy has no level none for {open_ended}")
+    ranks = " ".join(f"WHEN '{level}' THEN {len(ACCESS_LEVELS) - i}" for i, level in enumerate(ACCESS_LEVELS))
+    rank = f"CASE level {ranks} ELSE 0 END"
+    # A scalar subquery is evaluated once a query, whatever the number of masked columns.
+    level = (
+        f"coalesce((SELECT max_by(level, {rank}) FROM {grants} WHERE user_name = current_user() "
+        f"AND table_name = '{table}' AND {rank} > 0), 'none')"
+    )
+    shown = []
+    for c in columns:
+        levels = policy.get(c)
+        if levels is None:
+            shown.append(f"`{c}`")
+            continue
+        cases = " ".join(f"WHEN '{a}' THEN {levels[a]}" for a in ACCESS_LEVELS if a in levels and a != "none")
+        shown.append(f"CASE {level} {cases} ELSE {levels['none']} END AS `{c}`" if cases else f"{levels['none']} AS `{c}`")
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {', '.join(shown)} FROM {table}")
+
+
 def annotation(column: str) -> str | None:
     """The note a personal column's description carries."""
     hit = classify_name(column)
