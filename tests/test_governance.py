@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tierworks.operators import aggregates, drift, joins, personal_data
+from tierworks.sources import sinks
 
 VERSION = "label string, amount double"
 
@@ -85,3 +86,35 @@ def test_sketches_merge_over_any_groups(spark):
         for r in aggregates.merged_distinct(daily, by, "users", "n").collect():
             assert abs(r["n"] - exact) <= exact * aggregates.sketch_error()
     assert aggregates.sketch_error(12, 1) == pytest.approx(0.01625)
+
+
+def test_automatic_clustering_opens_fewer_files(spark, folder):
+    df = spark.range(20_000).selectExpr(
+        "id", "hash(id) % 1000 AS x", "pmod(hash(id, 7), 5000) * 0.5 AS y", "concat('k', lpad(pmod(hash(id, 9), 900), 3, '0')) AS s",
+        "IF(id % 50 = 0, NULL, date_add(DATE '2024-01-01', CAST(pmod(hash(id, 3), 300) AS INT))) AS d", "id % 2 = 0 AS flag",
+        "id % 3 AS small", "IF(id % 3 = 0, 7, CAST(id AS INT)) AS hot",
+    )
+    assert sinks.auto_columns(df, ["small", "flag", "s", "x", "missing"]) == ["x", "s"]
+    assert len(sinks.auto_columns(df)) == 3 and sinks.auto_columns(df, ["small"]) == []
+    columns = ["x", "y", "s", "d"]
+    reports = {}
+    for name, laid in (("sort", sinks.clustered), ("curve", sinks.on_curve)):
+        laid(df, columns, 32).write.parquet(f"{folder}/{name}")
+        written = spark.read.parquet(f"{folder}/{name}")
+        assert written.count() == 20_000 and rows(written) == rows(df)
+        reports[name] = {r["column_name"]: (r["files"], r["opened"]) for r in sinks.files_opened(written, columns).collect()}
+    for c in ("y", "s", "d"):
+        assert reports["curve"][c][1] < 0.8 * reports["sort"][c][1]
+    assert sum(o for _, o in reports["curve"].values()) < 0.8 * sum(o for _, o in reports["sort"].values())
+
+
+def test_clustering_of_hot_values_and_odd_tables(spark, folder):
+    df = spark.range(4000).selectExpr("IF(id % 3 = 0, 5, id) AS k", "id AS v")
+    sinks.on_curve(df, ["k", "v"], 8).write.parquet(f"{folder}/hot")
+    sizes = spark.read.parquet(f"{folder}/hot").groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in sizes) < 1500
+    same = spark.range(100).selectExpr("1 AS k", "CAST(NULL AS STRING) AS s")
+    sinks.write(same, f"{folder}/same", cluster_by=sinks.AUTO)
+    assert spark.read.parquet(f"{folder}/same").count() == 100
+    sinks.on_curve(same.limit(0), ["k", "s"], 4).write.parquet(f"{folder}/none")
+    assert spark.read.parquet(f"{folder}/none").count() == 0

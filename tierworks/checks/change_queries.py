@@ -312,6 +312,26 @@ def clustered_write(spark, sf):
     return spark.read.parquet(path)
 
 
+def clustered_auto(spark, sf):
+    """Orders on a curve over the columns that were chosen for them."""
+    path = fresh_path(spark, "auto")
+    sinks.write(tb.read(spark, sf, "orders"), path, cluster_by=sinks.AUTO)
+    return spark.read.parquet(path)
+
+
+def cluster_report(spark, sf):
+    """Whether range filters on two columns open fewer files on a curve than after a sort."""
+    columns = ["o_custkey", "o_totalprice"]
+    totals = []
+    for name, laid in (("sorted", sinks.clustered), ("curve", sinks.on_curve)):
+        path = fresh_path(spark, name)
+        laid(tb.read(spark, sf, "orders"), columns, 16).write.parquet(path)
+        report = sinks.files_opened(spark.read.parquet(path), columns)
+        totals.append(report.agg(F.count("*").alias("column_count"), F.sum("opened").alias(name)))
+    both = totals[0].join(totals[1], "column_count")
+    return both.select("column_count", (F.col("curve") < F.col("sorted")).alias("fewer_files"))
+
+
 def file_inventory(spark, sf):
     """Orders in one folder per status and one file per folder, with the rows of each."""
     path = fresh_path(spark, "inventory")
@@ -545,7 +565,8 @@ QUERIES = {
         change_feed, change_feed_bucketed, change_feed_digests, change_replay, row_tracking, cdc_apply, cdc_apply_stream,
         cdc_apply_late, cdc_apply_split, feed_replay_versions, incremental_view, gold_guard,
         drift_versions, drift_labels, granted_view,
-        bronze_events_stream, dedupe_replay, incremental_consume, csv_round_trip, clustered_write,
+        bronze_events_stream, dedupe_replay, incremental_consume, csv_round_trip, clustered_write, clustered_auto,
+        cluster_report,
         file_inventory, mirror_tables, mirror_verify, medallion_refresh, bronze_reviews_stream,
         review_tables_refresh, account_tables_refresh, table_audit, audit_bad_table, frame_audit,
         column_profile, date_dimension, bronze_date_dimensions, pii_table_labels,
@@ -697,6 +718,8 @@ ORACLE = {
     "csv_round_trip": with_views(
         "SELECT * REPLACE (trim(email) AS email) FROM customers", "customers"),
     "clustered_write": "SELECT * FROM orders",
+    "clustered_auto": "SELECT * FROM orders",
+    "cluster_report": "SELECT 2 AS column_count, true AS fewer_files FROM orders LIMIT 1",
     "file_inventory":
         """SELECT 'status=' || o_orderstatus AS directory, 1 AS file_count, count(*) AS row_count
            FROM orders GROUP BY o_orderstatus""",

@@ -13,7 +13,7 @@ from tierworks.operators import changes, personal_data, quality, retract, shape
 from tierworks.plans.incremental import IncrementalView
 from tierworks.plans.publish import Governance, attach, publish_view, read_location, stage
 from tierworks.session import delete_folder, fresh_path, shared_folder, subfolders
-from tierworks.sources.sinks import clustered
+from tierworks.sources.sinks import write
 from tierworks.streaming import bronze
 
 
@@ -26,7 +26,7 @@ class Dataset:
     governance: Governance
     expectations: Sequence[quality.Expectation] = ()
     key: Sequence[str] = ()
-    cluster_by: Sequence[str] = ()
+    cluster_by: Sequence[str] | str = ()  # columns, or sinks.AUTO
     feed: bool | None = None
     track: bool = False
     retain_on: str | None = None
@@ -154,7 +154,7 @@ class Medallion:
             raw = f"{self.root}/{dataset.name}/raw-{uuid.uuid4().hex}"
             counts = stage(df, raw, dataset.expectations, gold)
             staged = self.spark.read.schema(df.schema).parquet(raw)
-            clustered(staged, dataset.cluster_by).write.parquet(path)
+            write(staged, path, dataset.cluster_by)
             delete_folder(self.spark, raw)
         else:
             counts = stage(df, path, dataset.expectations, gold)
