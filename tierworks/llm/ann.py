@@ -15,7 +15,9 @@ among the first ``8 * PIVOTS`` rows in that order; every row is indexed.
 
 Defined cases: vectors that are null, empty, zero, hold null or non-finite components or
 have another length than most vectors take no part. Of rows with one id the smallest
-vector counts. Ties go to the smaller id. A query with fewer candidates gets all of them.
+vector counts. Ties go to the smaller id, also where candidates are cut by footrule. A
+query with fewer candidates gets all of them, no vector or no query gives no row. Vectors of
+any length are read whole; other columns are never read.
 """
 
 from __future__ import annotations

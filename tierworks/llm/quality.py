@@ -15,7 +15,9 @@ Defined cases: a null text is empty; null metadata is a value of its own. Labels
 null are left out, of several labels of one document the lowest counts. If the labels
 have fewer than two classes, or too few rows, every document gets the score 1. Equal rows
 get equal scores. An empty table gives no rows. If every document is in the labelled
-sample, the pool is empty and no round runs: the views learn from the labels alone.
+sample, the pool is empty and no round runs: the views learn from the labels alone. Rows
+of one hash are drawn by their id. Long texts are read whole, one at a time; what is kept of
+each is a row of numbers. Other columns are never read, ``keep_rows`` passes them on.
 """
 
 from __future__ import annotations
