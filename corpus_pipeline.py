@@ -2,6 +2,11 @@
 
 ``run`` writes every stage as Parquet to the shared folder and reads it again, so a later
 stage works on exactly what its predecessor kept.
+
+Defined cases are those of the operators: a null text is an empty one, and all empty texts are
+one group of copies; rows that share an id are told apart by their texts, of equal rows one
+stays; ties go to the smaller id, null ids last; texts of any length are read whole; an empty
+table gives an empty result. Other columns pass through all stages but the last.
 """
 
 from __future__ import annotations

@@ -64,6 +64,8 @@ RECOMMENDED = {
     # Very wide projections (synthetic tables) run faster as several methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Long texts fill a batch before 10,000 rows do.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024**2),
     # Call sites of every column expression cost several calls to the JVM each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
