@@ -468,6 +468,30 @@ def test_nearest(spark):
     assert [i for _, i in got[300]] == list(range(301, 311))
 
 
+def test_closeness_is_the_footrule_of_cut_orders():
+    rng = np.random.default_rng(6)
+    vectors, pivots, depth = rng.normal(size=(60, 5)), rng.normal(size=(12, 5)), 4
+    order = ann.orders(vectors, pivots, depth)
+    for x, row in zip(vectors, order):
+        assert list(row) == sorted(range(12), key=lambda p: ((x - pivots[p]) ** 2).sum())[:depth]
+    lists = ann.inverted_file(order, 12)
+    assert sum(len(rows) for rows, _ in lists) == 60 * depth
+    for query in order[:10]:
+        found = ann.closeness(lists, query, 60, depth)
+        for row, near in zip(order, found):
+            place = lambda of, p: list(of).index(p) if p in of else depth
+            footrule = sum(abs(place(row, p) - place(query, p)) for p in range(12))
+            assert footrule == depth * (depth + 1) - 2 * near
+
+
+def test_nearest_among_few_met(spark):
+    """Vectors that share no list with a query still fill up a short result."""
+    rng = np.random.default_rng(8)
+    x = np.vstack([rng.normal(size=(4, 3)), 50 + rng.normal(size=(8, 3))])
+    found = ann.search_segment(np.arange(12), x, np.array([0]), x[:1], x[[0, 11]], 10, 0.1)
+    assert len(found) == 10 and set(found["vec_id"][:3]) == {1, 2, 3}
+
+
 def test_nearest_few(spark):
     frame = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 3.0])], "vec_id long, embedding array<float>")
     vectors = ann.clean(frame)

@@ -1,11 +1,13 @@
 """Approximate nearest neighbours with a permutation index.
 
-A vector is represented by the order of its nearest pivots. Vectors are dealt by id to
-segments of about ``SEGMENT_ROWS``; a segment is an inverted file with one posting list
-per pivot that holds the place the pivot has for each vector. A query reads the lists of
-its own pivots, adds up differences of places (the footrule distance), and the nearest
-``RERANK`` share of the segment is ranked again by exact distance. The best of all
-segments are merged.
+A vector is represented by the order of its ``POSTED`` nearest pivots. Vectors are dealt by
+id to segments of about ``SEGMENT_ROWS``; a segment is an inverted file: the posting list of
+a pivot names the vectors that have it among their nearest, with its place in their order.
+A query reads only the lists of its own ``READ`` nearest pivots and adds up how much each
+posting takes off the footrule distance of two such orders, in which an absent pivot
+stands behind the last place. The nearest ``RERANK`` share of the segment is ranked again by
+exact distance; vectors met in no list are the furthest and fill up a share only where too
+few were met. The best of all segments are merged.
 
 Queries are cut into blocks; a block meets every segment in one group, so memory is
 bounded by a segment and a block whatever the number of rows.
@@ -29,7 +31,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tierworks.llm.common import id_hash, parts_for, staged
 
 NEAREST = 10
-PIVOTS = 128
+PIVOTS = 256
+POSTED = 64
+READ = 64
 SEGMENT_ROWS = 8192
 QUERY_ROWS = 8192
 RERANK = 0.15
@@ -61,10 +65,34 @@ def choose_pivots(vectors: DataFrame, pivots: int = PIVOTS) -> np.ndarray:
     return np.array(different[:pivots], dtype=np.float64)
 
 
-def places(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """The place of every pivot in each vector's order, nearest first; ties by number."""
+def orders(vectors: np.ndarray, pivots: np.ndarray, depth: int) -> np.ndarray:
+    """The numbers of each vector's ``depth`` nearest pivots, nearest first; ties by number."""
     apart = (pivots**2).sum(axis=1) - 2 * (vectors @ pivots.T)
-    return np.argsort(np.argsort(apart, axis=1, kind="stable"), axis=1).astype(np.int32)
+    return np.argsort(apart, axis=1, kind="stable")[:, :depth]
+
+
+def inverted_file(order: np.ndarray, pivots: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each pivot the rows that have it in their order and its place there."""
+    depth = order.shape[1]
+    by_pivot = np.argsort(order, axis=None, kind="stable")
+    ends = np.cumsum(np.bincount(order.ravel(), minlength=pivots))[:-1]
+    rows, at = np.split(by_pivot // depth, ends), np.split(by_pivot % depth, ends)
+    return list(zip(rows, at, strict=True))
+
+
+def closeness(
+    lists: list[tuple[np.ndarray, np.ndarray]], order: np.ndarray, rows: int, depth: int
+) -> np.ndarray:
+    """How far each row's footrule distance is below that of two orders without a common pivot.
+
+    A pivot on places a and b adds ``2 * (depth - max(a, b))``, here without the factor:
+    |a - b| takes the place of the two ways behind the last place.
+    """
+    found = np.zeros(rows, dtype=np.int64)
+    for place, pivot in enumerate(order):
+        members, at = lists[pivot]
+        found[members] += depth - np.maximum(at, place)
+    return found
 
 
 def search_segment(
@@ -72,16 +100,16 @@ def search_segment(
     pivots: np.ndarray, nearest: int, share: float,
 ) -> pd.DataFrame:
     """The nearest of one segment for each query; ``ids`` ascend."""
-    postings = np.ascontiguousarray(places(vectors, pivots).T)  # one list per pivot
-    orders = places(queries, pivots)
+    posted = min(POSTED, len(pivots))
+    lists = inverted_file(orders(vectors, pivots, posted), len(pivots))
     depth = min(len(ids), max(RERANK_LEAST, nearest + 1, int(np.ceil(share * len(ids)))))
+    by_id = np.arange(len(ids))
     found = []
-    for query_id, query, order in zip(query_ids, queries, orders, strict=True):
-        footrule = np.zeros(len(ids), dtype=np.int64)
-        for posting, place in zip(postings, order, strict=True):
-            footrule += np.abs(posting - place)
-        # Equal footrules: smaller ids first, so ties are cut in the order of the result.
-        ranked = footrule * len(ids) + np.arange(len(ids))
+    for query_id, query, order in zip(
+        query_ids, queries, orders(queries, pivots, min(READ, posted)), strict=True
+    ):
+        # Equally close: smaller ids first, so ties are cut in the order of the result.
+        ranked = by_id - closeness(lists, order, len(ids), posted) * len(ids)
         near = np.argpartition(ranked, depth - 1)[:depth]
         near = near[ids[near] != query_id]
         score = np.sqrt(((vectors[near] - query) ** 2).sum(axis=1))
