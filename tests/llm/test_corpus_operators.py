@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tierworks.llm import (
-    ann, components, exact_dedup, langid, licenses, mixing, packing, pii, pii_base, quality,
+    ann, components, exact_dedup, langid, licenses, linear, mixing, packing, pii, pii_base, quality,
     simhash, urls,
 )
 
@@ -395,6 +396,95 @@ def test_co_training_hands_labels_over():
     assert ((model.score(*pool) > 0.5) == pool_y).mean() > 0.97
 
 
+def test_text_view_sees_words():
+    same = [
+        ("god is love and dog", "dog is vole and god"),
+        ("the cat sat on a mat", "tar tas cat on a hem"),
+        ("one two three four", "four three two one"),
+    ]
+    for a, b in same:
+        x, y = quality.text_features(a), quality.text_features(b)
+        assert len(x) == quality.TEXT_FEATURES and not np.allclose(x, y)
+    assert not quality.text_features(None).any() and np.isfinite(quality.text_features("a")).all()
+
+
+def test_content_features_against_a_plain_loop(monkeypatch):
+    text = "Ä word and a Word " * 9 + "end"
+    raw, mask = text.encode(), 2**32 - 1
+    hashed = [zlib.crc32(w.lower()) for w in raw.split()]
+    pairs = [(a * 0x9E3779B1 & mask) ^ b for a, b in zip(hashed, hashed[1:])]
+    low = raw.lower()
+    grams = [int.from_bytes(low[i : i + 3], "big") * 0x9E3779B1 & mask for i in range(len(low) - 2)]
+    expected = []
+    for values, shift, size in (
+        (hashed, 8, quality.WORD_BUCKETS), (pairs, 8, quality.PAIR_BUCKETS), (grams, 16, quality.GRAM_BUCKETS)
+    ):
+        counts = Counter((v >> shift) % size for v in values)
+        expected += [(counts[i] / len(values)) ** 0.5 for i in range(size)]
+    for size in (1 << 20, 7):  # the trigrams across a cut are counted once
+        monkeypatch.setattr(quality, "GRAM_BYTES", size)
+        assert np.allclose(quality.content_features(raw, raw.split()), expected)
+
+
+def test_pseudo_labels_keep_the_share_of_classes():
+    sure = np.concatenate([np.linspace(0.96, 0.999, 900), np.linspace(0.001, 0.04, 60), np.full(40, 0.5)])
+    given = {}
+    for _ in range(3):
+        fresh = quality.most_confident(sure, given, 0.8)
+        assert Counter(fresh.values()) == {1.0: 40, 0.0: 10} and not set(fresh) & set(given)
+        given |= fresh
+    # Most confident first, of each class.
+    assert {i for i, v in given.items() if v} == set(range(780, 900))
+    assert {i for i, v in given.items() if not v} == set(range(900, 930))
+    assert quality.most_confident(np.full(5, 0.5), {}, 0.5) == {}
+
+
+def test_rounds_help_when_labels_are_few():
+    def sample(rng, n):
+        y = (rng.random(n) < 0.8).astype(float)
+        return y, [rng.normal(size=(n, 12)) + 0.75 * y[:, None], rng.normal(size=(n, 3)) + 2.0 * y[:, None]]
+
+    caught = {0: [], 12: []}
+    for seed in range(12):
+        rng = np.random.default_rng(seed)
+        y, views = sample(rng, 40)
+        _, pool = sample(rng, 1500)
+        truth, held = sample(rng, 4000)
+        for rounds in caught:
+            model = quality.co_train(views, y, pool, rounds)
+            if model:
+                text = linear.sigmoid(model.text.raw(held[0])) > 0.5
+                caught[rounds].append((text[truth > 0].mean() + 1 - text[truth == 0].mean()) / 2)
+    assert len(caught[0]) == len(caught[12]) >= 8
+    assert np.mean(caught[12]) > np.mean(caught[0]) + 0.02
+
+
+def test_calibration_and_combination_against_plain_descent():
+    rng = np.random.default_rng(4)
+    y = (rng.random(300) < 0.6).astype(float)
+    views = [rng.normal(size=(300, 2)) + y[:, None], rng.normal(size=(300, 2)) + 0.8 * y[:, None]]
+    model = quality.co_train(views, y, [v[:0] for v in views])
+    held = np.arange(300) % 4 == 3
+
+    def descent(x, target):  # ridge as in linear.fit, one row after the other
+        w = [0.0] * (x.shape[1] + 1)
+        for _ in range(4000):
+            slope = [1e-3 * len(x) * v for v in w[:-1]] + [1e-6 * w[-1]]
+            p = 1 / (1 + np.exp(-(x @ np.array(w[:-1]) + w[-1]))) - target
+            for k in range(x.shape[1]):
+                slope[k] += float((p * x[:, k]).sum())
+            slope[-1] += float(p.sum())
+            w = [v - 0.02 * g for v, g in zip(w, slope)]
+        return np.array(w)
+
+    raws = [m.raw(v[held])[:, None] for m, v in zip((model.text, model.metadata), views)]
+    plain = [descent(r, y[held]) for r in raws]
+    for m, w in zip((model.text, model.metadata), plain):
+        assert np.allclose(m.calibration, w, atol=1e-3)
+    both = np.hstack([r * w[0] + w[1] for r, w in zip(raws, plain)])
+    assert np.allclose(model.combined, descent(both, y[held]), atol=1e-3)
+
+
 # language
 
 def test_network_learns(rng):

@@ -1,9 +1,12 @@
 """Quality classifier by co-training of a text view and a metadata view.
 
-The text view sees statistics of the whole text, the metadata view only the other
-columns (language, source, stated length). Both start from labelled rows; in every round
-each view labels the rows of an unlabelled pool it is most confident of, and the other
-view trains on them. Then both are calibrated on labelled rows that were held back, and
+The text view sees the whole text: hashed words, word pairs and byte trigrams
+(``WORD_BUCKETS``, ``PAIR_BUCKETS`` and ``GRAM_BUCKETS`` numbers, the root of each bucket's
+share) beside statistics of its bytes, words and lines. The metadata view sees only the
+other columns (language, source, stated length). Both start from labelled rows; in every
+round each view labels the rows of an unlabelled pool it is most confident of, and the
+other view trains on them. Each class gets its share of a round by the labelled rows, so
+that the frequent class does not crowd out the other. Then both are calibrated on labelled rows that were held back, and
 a logistic regression over the two calibrated views scores all documents.
 
 Training uses samples of at most ``LABELLED`` labelled and ``POOL`` unlabelled rows,
@@ -52,11 +55,37 @@ for _number, _members in enumerate(
 ):
     _CLASSES[list(_members)] = _number
 _N_CLASSES = 11
-TEXT_FEATURES = _N_CLASSES + 11
+STATISTICS = _N_CLASSES + 11
+# Numbers for hashed words, pairs of neighbouring words, and runs of three bytes.
+WORD_BUCKETS, PAIR_BUCKETS, GRAM_BUCKETS = 128, 64, 64
+TEXT_FEATURES = STATISTICS + WORD_BUCKETS + PAIR_BUCKETS + GRAM_BUCKETS
+# Bytes of a text whose trigrams are hashed at a time.
+GRAM_BYTES = 1 << 20
+
+
+def _shares(counts: np.ndarray) -> np.ndarray:
+    return np.sqrt(counts / max(1, counts.sum()))
+
+
+def content_features(raw: bytes, words: list[bytes]) -> np.ndarray:
+    """Root shares of hashed lower-case words, word pairs and byte trigrams of a text."""
+    number = {w: zlib.crc32(w.lower()) for w in set(words)}
+    hashed = np.fromiter(map(number.__getitem__, words), dtype=np.uint32, count=len(words))
+    pairs = (hashed[:-1] * np.uint32(0x9E3779B1)) ^ hashed[1:]
+    grams = np.zeros(GRAM_BUCKETS)
+    for start in range(0, len(raw) - 2, GRAM_BYTES):
+        at = np.frombuffer(raw[start : start + GRAM_BYTES + 2].lower(), dtype=np.uint8).astype(np.uint32)
+        mixed = ((at[:-2] << 16) | (at[1:-1] << 8) | at[2:]) * np.uint32(0x9E3779B1)
+        grams += np.bincount((mixed >> 16) % GRAM_BUCKETS, minlength=GRAM_BUCKETS)
+    return np.concatenate([
+        _shares(np.bincount((hashed >> 8) % WORD_BUCKETS, minlength=WORD_BUCKETS)),
+        _shares(np.bincount((pairs >> 8) % PAIR_BUCKETS, minlength=PAIR_BUCKETS)),
+        _shares(grams),
+    ])
 
 
 def text_features(text: str | None) -> np.ndarray:
-    """Statistics of one text: shares of byte classes, words, repetition and lines."""
+    """Statistics of one text (byte classes, words, repetition, lines) and its content."""
     raw = (text or "").encode("utf-8", "replace")
     words = raw.split()
     if not words:
@@ -81,7 +110,7 @@ def text_features(text: str | None) -> np.ndarray:
         np.sqrt(shares[7]),
         np.log1p(lines / n),
     ]
-    return np.concatenate([shares, rest])
+    return np.concatenate([shares, rest, content_features(raw, words)])
 
 
 def metadata_features(frame: pd.DataFrame) -> np.ndarray:
@@ -130,6 +159,23 @@ def _view(x: np.ndarray, y: np.ndarray) -> View:
     return View(mean, scale, linear.fit((x - mean) / scale, y), np.array([1.0, 0.0]))
 
 
+def most_confident(sure: np.ndarray, given: dict[int, float], prior: float) -> dict[int, float]:
+    """New pseudo-labels of one round from a view's probabilities ``sure`` over the pool.
+
+    A round labels ``PER_ROUND`` of the pool, of which the good class gets the share
+    ``prior`` and the other the rest, at least one row each; rows in ``given``, and rows
+    the view is not ``CONFIDENT`` of, are passed over.
+    """
+    size = PER_ROUND * len(sure)
+    found: dict[int, float] = {}
+    for label, share in ((1.0, prior), (0.0, 1 - prior)):
+        own = sure if label else 1 - sure
+        order = np.argsort(-own, kind="stable")
+        fresh = [int(i) for i in order[own[order] >= CONFIDENT] if int(i) not in given]
+        found |= dict.fromkeys(fresh[: max(1, round(size * share))], label)
+    return found
+
+
 def co_train(
     labelled: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rounds: int = ROUNDS
 ) -> Model | None:
@@ -142,14 +188,11 @@ def co_train(
     train = [(x[~held], y[~held]) for x in labelled]
     given: list[dict[int, float]] = [{}, {}]  # pseudo-labels each view was given
     views = [_view(*t) for t in train]
+    prior = float(y[~held].mean())
     for _ in range(rounds if len(pool[0]) else 0):
         for sender, receiver in ((0, 1), (1, 0)):
             sure = linear.sigmoid(views[sender].raw(pool[sender]))
-            fresh = np.array([i for i in range(len(sure)) if i not in given[receiver]], dtype=int)
-            order = fresh[np.argsort(-np.abs(sure[fresh] - 0.5), kind="stable")]
-            order = order[np.maximum(sure[order], 1 - sure[order]) >= CONFIDENT]
-            for i in order[: max(1, int(PER_ROUND * len(sure)))]:
-                given[receiver][int(i)] = float(sure[i] > 0.5)
+            given[receiver] |= most_confident(sure, given[receiver], prior)
         for k in (0, 1):
             rows = np.array(list(given[k]), dtype=int)
             x, known = train[k]
