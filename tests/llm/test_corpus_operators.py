@@ -442,13 +442,13 @@ def test_pseudo_labels_keep_the_share_of_classes():
 def test_rounds_help_when_labels_are_few():
     def sample(rng, n):
         y = (rng.random(n) < 0.8).astype(float)
-        return y, [rng.normal(size=(n, 12)) + 0.75 * y[:, None], rng.normal(size=(n, 3)) + 2.0 * y[:, None]]
+        return y, [rng.normal(size=(n, 60)) + 0.3 * y[:, None], rng.normal(size=(n, 3)) + 2.2 * y[:, None]]
 
     caught = {0: [], 12: []}
     for seed in range(12):
         rng = np.random.default_rng(seed)
-        y, views = sample(rng, 40)
-        _, pool = sample(rng, 1500)
+        y, views = sample(rng, 280)
+        _, pool = sample(rng, 3000)
         truth, held = sample(rng, 4000)
         for rounds in caught:
             model = quality.co_train(views, y, pool, rounds)
@@ -459,6 +459,17 @@ def test_rounds_help_when_labels_are_few():
     assert np.mean(caught[12]) > np.mean(caught[0]) + 0.02
 
 
+def test_a_view_that_knows_nothing_hands_nothing_over():
+    for seed in range(5):
+        rng = np.random.default_rng(seed)
+        y, pool_y = (rng.random(800) < 0.85).astype(float), (rng.random(900) < 0.85).astype(float)
+        views = [rng.normal(size=(800, 4)) + 2 * y[:, None], rng.normal(size=(800, 6))]
+        pool = [rng.normal(size=(900, 4)) + 2 * pool_y[:, None], rng.normal(size=(900, 6))]
+        alone, after = quality.co_train(views, y, pool, 0), quality.co_train(views, y, pool, 6)
+        assert np.array_equal(alone.text.weights, after.text.weights)
+        assert not np.array_equal(alone.metadata.weights, after.metadata.weights)
+
+
 def test_calibration_and_combination_against_plain_descent():
     rng = np.random.default_rng(4)
     y = (rng.random(300) < 0.6).astype(float)
@@ -477,8 +488,9 @@ def test_calibration_and_combination_against_plain_descent():
             w = [v - 0.02 * g for v, g in zip(w, slope)]
         return np.array(w)
 
+    smooth = np.where(y[held] > 0, 1 - 1 / (y[held].sum() + 2), 1 / ((1 - y[held]).sum() + 2))
     raws = [m.raw(v[held])[:, None] for m, v in zip((model.text, model.metadata), views)]
-    plain = [descent(r, y[held]) for r in raws]
+    plain = [descent(r, smooth) for r in raws]
     for m, w in zip((model.text, model.metadata), plain):
         assert np.allclose(m.calibration, w, atol=1e-3)
     both = np.hstack([r * w[0] + w[1] for r, w in zip(raws, plain)])

@@ -5,8 +5,9 @@ The text view sees the whole text: hashed words, word pairs and byte trigrams
 share) beside statistics of its bytes, words and lines. The metadata view sees only the
 other columns (language, source, stated length). Both start from labelled rows; in every
 round each view labels the rows of an unlabelled pool it is most confident of, and the
-other view trains on them. Each class gets its share of a round by the labelled rows, so
-that the frequent class does not crowd out the other. Then both are calibrated on labelled rows that were held back, and
+other view trains on them. Confidence is calibrated on labelled rows that are held back and has
+to beat the share of the class by far, so a view that knows nothing hands nothing over. Each class gets its share of a round by the labelled rows, so
+that the frequent class does not crowd out the other. In the end both are calibrated once more, and
 a logistic regression over the two calibrated views scores all documents.
 
 Training uses samples of at most ``LABELLED`` labelled and ``POOL`` unlabelled rows,
@@ -39,9 +40,11 @@ from tierworks.llm.common import id_hash, packed
 LABELLED = 4000
 POOL = 4000
 ROUNDS = 4
-# Share of the pool each view may label in a round, and how sure it has to be.
+# Share of the pool each view may label in a round; how sure it has to be, and how many times
+# less often wrong than calling every row by the class.
 PER_ROUND = 0.05
-CONFIDENT = 0.95
+CONFIDENT = 0.9
+LIFT = 5
 THRESHOLD = 0.5
 LEAST_ROWS = 20
 BUCKETS = 32
@@ -159,19 +162,30 @@ def _view(x: np.ndarray, y: np.ndarray) -> View:
     return View(mean, scale, linear.fit((x - mean) / scale, y), np.array([1.0, 0.0]))
 
 
+def platt(raw: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Slope and intercept that make a view's scores probabilities, after Platt (1999).
+
+    The targets are smoothed by one row a class, so few rows never make a view certain.
+    """
+    good = y.sum()
+    targets = np.where(y > 0, (good + 1) / (good + 2), 1 / (len(y) - good + 2))
+    return linear.fit(raw[:, None], targets)
+
+
 def most_confident(sure: np.ndarray, given: dict[int, float], prior: float) -> dict[int, float]:
     """New pseudo-labels of one round from a view's probabilities ``sure`` over the pool.
 
     A round labels ``PER_ROUND`` of the pool, of which the good class gets the share
     ``prior`` and the other the rest, at least one row each; rows in ``given``, and rows
-    the view is not ``CONFIDENT`` of, are passed over.
+    the view is not sure enough of, are passed over.
     """
     size = PER_ROUND * len(sure)
     found: dict[int, float] = {}
     for label, share in ((1.0, prior), (0.0, 1 - prior)):
-        own = sure if label else 1 - sure
-        order = np.argsort(-own, kind="stable")
-        fresh = [int(i) for i in order[own[order] >= CONFIDENT] if int(i) not in given]
+        wrong = 1 - sure if label else sure
+        order = np.argsort(wrong, kind="stable")
+        enough = wrong[order] <= min(1 - CONFIDENT, (1 - share) / LIFT)
+        fresh = [int(i) for i in order[enough] if int(i) not in given]
         found |= dict.fromkeys(fresh[: max(1, round(size * share))], label)
     return found
 
@@ -191,7 +205,9 @@ def co_train(
     prior = float(y[~held].mean())
     for _ in range(rounds if len(pool[0]) else 0):
         for sender, receiver in ((0, 1), (1, 0)):
-            sure = linear.sigmoid(views[sender].raw(pool[sender]))
+            view = views[sender]
+            view = view._replace(calibration=platt(view.raw(labelled[sender][held]), y[held]))
+            sure = linear.sigmoid(view.calibrated(pool[sender]))
             given[receiver] |= most_confident(sure, given[receiver], prior)
         for k in (0, 1):
             rows = np.array(list(given[k]), dtype=int)
@@ -200,7 +216,7 @@ def co_train(
                 np.vstack([x, pool[k][rows]]), np.concatenate([known, list(given[k].values())])
             )
     views = [
-        v._replace(calibration=linear.fit(v.raw(x[held])[:, None], y[held]))
+        v._replace(calibration=platt(v.raw(x[held]), y[held]))
         for v, x in zip(views, labelled, strict=True)
     ]
     stacked = np.stack([v.calibrated(x[held]) for v, x in zip(views, labelled, strict=True)], axis=1)
