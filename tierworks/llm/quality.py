@@ -62,6 +62,8 @@ STATISTICS = _N_CLASSES + 11
 # Numbers for hashed words, pairs of neighbouring words, and runs of three bytes.
 WORD_BUCKETS, PAIR_BUCKETS, GRAM_BUCKETS = 128, 64, 64
 TEXT_FEATURES = STATISTICS + WORD_BUCKETS + PAIR_BUCKETS + GRAM_BUCKETS
+# Hashed numbers are scaled down so often against statistics: there are many, and each says little.
+CONTENT_DAMPING = 5.0
 # Bytes of a text whose trigrams are hashed at a time.
 GRAM_BYTES = 1 << 20
 
@@ -156,9 +158,10 @@ class Model(NamedTuple):
         return linear.sigmoid(linear.logit(views, self.combined))
 
 
-def _view(x: np.ndarray, y: np.ndarray) -> View:
+def _view(x: np.ndarray, y: np.ndarray, damping: np.ndarray | float = 1.0) -> View:
     mean, scale = x.mean(axis=0), x.std(axis=0)
     scale[scale < 1e-9] = 1.0
+    scale = scale * damping
     return View(mean, scale, linear.fit((x - mean) / scale, y), np.array([1.0, 0.0]))
 
 
@@ -191,9 +194,11 @@ def most_confident(sure: np.ndarray, given: dict[int, float], prior: float) -> d
 
 
 def co_train(
-    labelled: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rounds: int = ROUNDS
+    labelled: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rounds: int = ROUNDS,
+    damping: tuple[np.ndarray | float, np.ndarray | float] = (1.0, 1.0),
 ) -> Model | None:
-    """``labelled`` and ``pool`` hold one matrix for each of the two views."""
+    """``labelled`` and ``pool`` hold one matrix for each of the two views; ``damping`` divides
+    the standardised columns of a view, so that the ridge holds them back more."""
     if len(y) < LEAST_ROWS or len(np.unique(y)) < 2:
         return None
     held = np.arange(len(y)) % 4 == 3
@@ -201,7 +206,7 @@ def co_train(
         return None
     train = [(x[~held], y[~held]) for x in labelled]
     given: list[dict[int, float]] = [{}, {}]  # pseudo-labels each view was given
-    views = [_view(*t) for t in train]
+    views = [_view(*t, d) for t, d in zip(train, damping, strict=True)]
     prior = float(y[~held].mean())
     for _ in range(rounds if len(pool[0]) else 0):
         for sender, receiver in ((0, 1), (1, 0)):
@@ -213,7 +218,8 @@ def co_train(
             rows = np.array(list(given[k]), dtype=int)
             x, known = train[k]
             views[k] = _view(
-                np.vstack([x, pool[k][rows]]), np.concatenate([known, list(given[k].values())])
+                np.vstack([x, pool[k][rows]]), np.concatenate([known, list(given[k].values())]),
+                damping[k],
             )
     views = [
         v._replace(calibration=platt(v.raw(x[held]), y[held]))
@@ -263,7 +269,9 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: in
     metadata = metadata_features(frame)
     is_known = frame["quality"].notna().to_numpy()
     y = (frame["quality"][is_known] > 0).to_numpy(float)
-    return co_train([text[is_known], metadata[is_known]], y, [text[~is_known], metadata[~is_known]])
+    views = [text[is_known], metadata[is_known]], y, [text[~is_known], metadata[~is_known]]
+    content = np.repeat([1.0, CONTENT_DAMPING], [STATISTICS, TEXT_FEATURES - STATISTICS])
+    return co_train(*views, damping=(content, 1.0))
 
 
 def score(model: Model | None, text: Column, lang: Column, source: Column, n_chars: Column) -> Column:
