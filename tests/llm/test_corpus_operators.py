@@ -192,6 +192,8 @@ URLS = [
     "http://x.org/file.exe", "http://a.com://b.net/es/", "http://a.net?x/es/", "://com/",
     "http://examplé.com/en/", "http://a.com/casino", "http://WWW.EXAMPLE.COM/en/", "http:// b.net/fr/",
     "http://a\n.com/x", "http://a.net/login\n", "http://a.net/x.zip\n", "http://a.net/x.zip", "http://www.example.com/en/" + "y" * 30000,
+    "http://free-bets.org/", "http://bets.org/free", "http://x.org/wp-admin/a", "http://x.org/a/wp/admin/",
+    "http://x.org/tag/red/page/2", "http://x.org/tag/red/blue/page/2", "http://x.org/Klogin/", "http://x.org/İ/cgi-bin/",
 ]
 
 
@@ -211,9 +213,33 @@ def test_url_rules(spark):
     assert blocked == {
         "http://casino.org/a", "http://best-casino.win.org/a", "http://spam-farm.example.net/en/1",
         "http://x.org/login", "http://x.org/file.exe", "http://a.net/x.zip",
+        "http://free-bets.org/", "http://x.org/wp-admin/a", "http://x.org/tag/red/page/2",
+        "http://x.org/İ/cgi-bin/",
     }
 
 
+def test_url_rules_give_what_running_every_pattern_gives(spark):
+    rules = urls.production_rules()
+    parts = ["casino", "free", "bets", "wp", "admin", "tag", "page", "login", "zip", "net", "es"]
+    made = [f"http://{a}{x}{b}{y}{c}" for a in parts[:4] for b in parts for c in parts
+            for x, y in ((".", "/"), ("-", "."), ("/", "/red/"), (".net/", "."))]
+    frame = spark.createDataFrame(list(enumerate(URLS + made)), "page_id long, url string")
+    found = {r["page_id"]: r for r in urls.judged(frame, urls.rule_table(spark, rules)).collect()}
+    for i, url in enumerate(URLS + made):
+        target = found[i]["host"] + found[i]["path"]
+        fits = [r for r in rules if re.search(r.pattern.replace(r"\z", r"\Z"), target)]
+        best = min(fits, key=lambda r: (-r.priority, -len(r.name), r.name), default=None)
+        assert (found[i]["rule"] or found[i]["pattern_rule"]) == (best and best.name), url
+
+
+def test_url_tokens_come_from_the_literals():
+    rule = urls.pattern_rule("r", "block", "ads/Banner-12/x", urls.SEGMENT, "y/img.gif", urls.END)
+    assert rule.tokens == ["banner", "12", "img", "gif"]
+    assert urls.host_path_rule("a.com/en/pa", "block").tokens == ["a", "com", "en"]
+    assert urls.pattern_rule("r", "block", "open").tokens == []
+    assert all(r.tokens for r in urls.production_rules())
+
+
 def test_url_repeated_rows(spark):
     frame = spark.createDataFrame([(1, "http://a.com/")] * 3 + [(None, None)] * 2 + [(1, "http://a.com/?q")],
                                   "page_id long, url string")

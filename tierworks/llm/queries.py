@@ -96,9 +96,11 @@ _BASE_RULES = ", ".join(
     f"('{n}', '{n.partition('/')[0]}', '/{n.partition('/')[2]}', '{v}')" for n, v in urls.BASE_RULES
 )
 _PATTERNS = ", ".join(
-    [rf"('site:{w}', '^([^/]*[.-])?{w}([.-]|/|\z)')" for w in urls.BLOCKED_WORDS]
+    [rf"('site:{w}', '^([^/]*[.-])?{w}([.-]|/|\z)')" for w in urls.BLOCKED_WORDS + urls.BLOCKED_PHRASES]
     + [rf"('page:{w}', '/{w}(/|[.]|\z)')" for w in urls.BLOCKED_PAGES]
     + [rf"('file:{w}', '[.]{w}\z')" for w in urls.BLOCKED_FILES]
+    + [f"('folder:{w}', '/{w}/')" for w in urls.BLOCKED_FOLDERS]
+    + [f"('listing:{w}', '/{w}/[^/]*/page/')" for w in urls.BLOCKED_LISTINGS]
 )
 
 

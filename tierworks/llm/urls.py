@@ -1,7 +1,7 @@
 """URL filters: pattern rules found by their rarest literal token.
 
-A rule is a regular expression over ``host/path`` with the literal tokens any match must
-contain. Tokens are counted over all urls, every rule is filed under its rarest token,
+A rule is a regular expression over ``host/path``, put together from literals and gaps; the
+tokens any match must contain are taken from its literals. Tokens are counted over all urls, every rule is filed under its rarest token,
 and a url fetches only the rules filed under one of its own tokens; only those run their
 regular expression. Everything is DataFrame functions.
 
@@ -39,18 +39,53 @@ class Rule(NamedTuple):
     priority: int
 
 
-def host_path_rule(name: str, verdict: str, priority: int = 1) -> Rule:
-    """``host/path``: fits the host and its subdomains, and paths that start so.
+class Gap(NamedTuple):
+    """A part of a pattern that is no literal.
+
+    ``bounds``: in every match it ends beside its literals with a character that is
+    neither letter nor digit, or with the edge of the url.
+    """
+
+    pattern: str
+    bounds: bool
+
+
+HOST_START = Gap(r"(?s)^([^/]*\.)?", True)
+SITE_START = Gap(r"^([^/]*[.-])?", True)
+SITE_END = Gap(r"([.-]|/|\z)", True)
+PAGE_END = Gap(r"(/|[.]|\z)", True)
+SEGMENT = Gap(r"[^/]*", False)
+END = Gap(r"\z", True)
+
 
-    The last token of the path may go on in the url, so it is no token to file under
-    unless the path ends with a separator.
+def _quoted(literal: str) -> str:
+    return "".join(c if c.isalnum() or not c.isascii() else "\\" + c for c in literal)
+
+
+def _literal_tokens(literal: str, bound_left: bool, bound_right: bool) -> list[str]:
+    """Runs at an open edge are left out: they may go on in the url."""
+    runs = "".join(c.lower() if c.isascii() and c.isalnum() else " " for c in literal).split(" ")
+    inner = runs[0 if bound_left else 1 :]
+    return [r for r in (inner if bound_right else inner[:-1]) if r]
+
+
+def pattern_rule(name: str, verdict: str, *parts: str | Gap, priority: int = 0) -> Rule:
+    """A rule of literals and gaps, taking turns; its tokens come from the literals.
+
+    Without a gap at an edge the pattern may begin or end anywhere in the url.
     """
-    host, _, path = name.partition("/")
-    pattern = rf"(?s)^([^/]*\.)?\Q{host}\E/\Q{path}\E"
-    words = f"{host}/{path}".lower()
-    complete = words if not words[-1].isalnum() else words[: -len(words.split("/")[-1])]
-    cleaned = "".join(c if c.isascii() and c.isalnum() else " " for c in complete)
-    return Rule(name, verdict, pattern, cleaned.split(), priority)
+    bounds = [False, *(isinstance(p, Gap) and p.bounds for p in parts), False]
+    tokens: list[str] = []
+    for i, part in enumerate(parts, 1):
+        if isinstance(part, str):
+            tokens += _literal_tokens(part, bounds[i - 1], bounds[i + 1])
+    pattern = "".join(p.pattern if isinstance(p, Gap) else _quoted(p) for p in parts)
+    return Rule(name, verdict, pattern, list(dict.fromkeys(tokens)), priority)
+
+
+def host_path_rule(name: str, verdict: str, priority: int = 1) -> Rule:
+    """``host/path``: fits the host and its subdomains, and paths that start so."""
+    return pattern_rule(name, verdict, HOST_START, name, priority=priority)
 
 
 #: Host and path rules with their verdicts, as (rule, verdict); fixed values.
@@ -64,17 +99,27 @@ BASE_RULES = [
 
 #: Sites whose host has one of these words as a part, tried where no base rule fits.
 BLOCKED_WORDS = ["casino", "poker", "spam", "porn", "xxx", "warez"]
+#: The same for several words in a row; each is filed under its rarest.
+BLOCKED_PHRASES = ["adult-dating", "cheap-pills", "free-bets", "payday-loans"]
 #: Pages and files that hold no text to learn from.
 BLOCKED_PAGES = ["login", "signin", "logout", "cart"]
 BLOCKED_FILES = ["exe", "msi", "apk", "zip"]
+#: Folders of site machinery, and listings such as ``/tag/<any>/page/``.
+BLOCKED_FOLDERS = ["cgi-bin", "wp-admin", "wp-json"]
+BLOCKED_LISTINGS = ["author", "tag"]
 
 
 def production_rules() -> list[Rule]:
-    """The base rules and, at priority 0, one pattern rule for each blocked word."""
+    """The base rules and, at priority 0, one pattern rule for each blocked entry."""
     rules = [host_path_rule(n, v) for n, v in BASE_RULES]
-    rules += [Rule(f"site:{w}", "block", rf"^([^/]*[.-])?{w}([.-]|/|\z)", [w], 0) for w in BLOCKED_WORDS]
-    rules += [Rule(f"page:{w}", "block", rf"/{w}(/|[.]|\z)", [w], 0) for w in BLOCKED_PAGES]
-    rules += [Rule(f"file:{w}", "block", rf"[.]{w}\z", [w], 0) for w in BLOCKED_FILES]
+    sites = [*BLOCKED_WORDS, *BLOCKED_PHRASES]
+    rules += [pattern_rule(f"site:{w}", "block", SITE_START, w, SITE_END) for w in sites]
+    rules += [pattern_rule(f"page:{w}", "block", f"/{w}", PAGE_END) for w in BLOCKED_PAGES]
+    rules += [pattern_rule(f"file:{w}", "block", f".{w}", END) for w in BLOCKED_FILES]
+    rules += [pattern_rule(f"folder:{w}", "block", f"/{w}/") for w in BLOCKED_FOLDERS]
+    rules += [
+        pattern_rule(f"listing:{w}", "block", f"/{w}/", SEGMENT, "/page/") for w in BLOCKED_LISTINGS
+    ]
     return rules
 
 
@@ -109,7 +154,8 @@ def judged(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str =
     )
     parts = counted.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     parts = parts.withColumn("target", F.concat("host", "path"))
-    words = F.array_distinct(F.split(F.lower("target"), SEPARATORS))
+    # A-Z only, as in the rules: other letters are separators, whatever their lower case.
+    words = F.array_distinct(F.split(F.translate("target", UPPER, LOWER), SEPARATORS))
     tokens = staged(parts.withColumn("tokens", words), "url-tokens")
 
     # Combined where it is read, so that a token in every url is no hot key of the join.
