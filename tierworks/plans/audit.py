@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -144,12 +145,25 @@ def audit(spark: SparkSession, database: str, contracts: Mapping[str, Contract])
     return reduce(DataFrame.unionByName, parts)
 
 
+# Rows that one task counts exactly before it hands on its distinct values.
+EXACT_ROWS = 50_000
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly into parts of about ``EXACT_ROWS`` rows, whatever its values."""
+    parts = max(1, ceil(df.count() / EXACT_ROWS))
+    placed = df.withColumn("_place", F.xxhash64(F.monotonically_increasing_id()))
+    return placed.repartition(parts, "_place").drop("_place")
+
+
 def profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """Filled rows, distinct values, minimum and maximum per column, in one pass.
 
-    Distinct counts are sketches of fixed size unless ``exact`` is asked for, which
-    expands every row once per column before the shuffle.
+    Distinct counts are sketches of fixed size unless ``exact`` is asked for, which deals
+    rows into small parts and expands every row once per column before the next shuffle:
+    a task holds the values of its part, however large a file or the table is.
     """
+    df = _spread(df) if exact else df
     simple = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
     counters, lines = [F.count("*").alias("_rows")], []
     for c in simple:
