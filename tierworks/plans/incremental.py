@@ -57,7 +57,8 @@ class IncrementalView:
         rewritten = list(changed) if at else list(before.entries)
         planned = {b: before.entries[b].rows + n for b, n in changed.items()}
         after = before.split(planned, self.bucket_rows)
-        written = dr.write(rows.drop("_again"), self.path, number, before, after, rewritten, self.by)
+        written = dr.write(rows.drop("_again"), self.path, number, before, after, rewritten, self.by,
+                           sum(planned.values()))
         dr.forget(self.spark, self.path, number, self.keep)
         return {
             "groups": delta.count(), "again": again,
@@ -77,9 +78,12 @@ class IncrementalView:
 
         One statement names all folders, so replacing the view swaps them at once.
         """
-        found = dr.folders(self.path, self._directory(self.version())) or [f"{self.path}/empty"]
+        found = dr.held(self.path, self._directory(self.version()))
         shown = ", ".join([*[f"`{c}`" for c in self.by], *retract.value_sql(self.measures)])
-        return " UNION ALL ".join(f"SELECT {shown} FROM parquet.`{f}`" for f in found)
+        if not found:
+            return f"SELECT {shown} FROM parquet.`{self.path}/empty`"
+        return " UNION ALL ".join(
+            f"SELECT {shown} FROM parquet.`{f}` WHERE {dr.named(names)}" for f, names in sorted(found.items()))
 
     def _directory(self, number: int) -> dr.Directory:
         return dr.read(self.spark, self.path, number)

@@ -52,13 +52,15 @@ def apply_stream(
             changed = dr.touched(batch, before, keys)
             state = dr.rows_of(session, path, schema, before, list(changed))
         else:
-            before = dr.Directory.of_size(fresh.count() + batch.count(), bucket_rows, buckets)
+            rows = fresh.count() + batch.count()
+            before = dr.Directory.of_size(rows, bucket_rows, buckets)
             changed = dict.fromkeys(before.entries, 0)
             state = fresh
         planned = {b: before.entries[b].rows + n for b, n in changed.items()}
+        rows = sum(planned.values()) if number else rows
         after = before.split(planned, bucket_rows)
         merged = changes.merge_state(state, batch, keys, order, kind)
-        dr.write(merged, path, number, before, after, list(changed), keys)
+        dr.write(merged, path, number, before, after, list(changed), keys, rows)
         dr.forget(session, path, number, keep)
 
     query = (
