@@ -219,10 +219,26 @@ def replay(old: DataFrame, feed: DataFrame, key: Sequence[str] | str) -> DataFra
 
 def track_rows(df: DataFrame, key: Sequence[str] | str, version: int = 1) -> DataFrame:
     """Add a stable ``row_id`` from the key and the version the row was written in."""
+    row_id = id_of(key).alias("row_id")
+    return df.select("*", row_id, F.lit(version).cast("long").alias("row_version"))
+
+
+def id_of(key: Sequence[str] | str) -> Column:
+    """The ``row_id`` of a key."""
     keys = [key] if isinstance(key, str) else list(key)
     identity = F.col(keys[0]).cast("string") if len(keys) == 1 else F.to_json(F.struct(*keys))
-    row_id = F.sha2(identity, 256)
-    return df.select("*", row_id.alias("row_id"), F.lit(version).cast("long").alias("row_version"))
+    return F.sha2(identity, 256)
+
+
+def short_ids(df: DataFrame, key: Sequence[str] | str) -> DataFrame:
+    """``df`` with a sign in place of every ``row_id`` that its key gives; ``long_ids`` undoes it."""
+    own = F.col("row_id")
+    return df.withColumn("row_id", F.when(own.eqNullSafe(id_of(key)), F.lit("=")).otherwise(F.concat(F.lit("!"), own)))
+
+
+def long_ids(df: DataFrame, key: Sequence[str] | str) -> DataFrame:
+    short = F.col("row_id")
+    return df.withColumn("row_id", F.when(short == "=", id_of(key)).otherwise(F.substr(short, F.lit(2))))
 
 
 def track_merge(
@@ -236,11 +252,14 @@ def track_merge(
     keys = [key] if isinstance(key, str) else list(key)
     columns = new.columns
     known = aligned(tracked, new)[0]
+    # Only what is compared travels; ids and the other row are made behind the join.
+    compared = [c for c in columns if c not in ignore and c not in keys]
+    there = F.lit(True).alias("_there")
     before = known.select(
-        *keys, F.struct(*columns).alias("_before"), F.col("row_version").alias("_version")
+        *keys, F.struct(there, *compared).alias("_before"), F.col("row_version").alias("_version")
     )
-    after = track_rows(new, keys, version).withColumn("_after", F.struct(*columns))
-    joined = after.join(before, keys, "left")
-    same = _same("_before", "_after", [c for c in columns if c not in ignore])
+    joined = track_rows(new.join(before, keys, "left").select(*columns, "_before", "_version"), keys, version)
+    joined = joined.withColumn("_after", F.struct(there, *compared))
+    same = _same("_before", "_after", compared)
     kept = F.when(same, F.col("_version")).otherwise(F.col("row_version"))
     return joined.select(*columns, "row_id", kept.alias("row_version"))

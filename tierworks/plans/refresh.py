@@ -198,11 +198,17 @@ class Medallion:
         made.withColumn("buckets", F.lit(buckets)).write.mode("overwrite").parquet(folder)
         if known is None:
             before, after = changes.aligned(before, after)
+        # Ids are as long as the rest of a row; those the key gives are made again behind the join.
+        short = dataset.track and "row_id" not in dataset.key
+        if short:
+            before, after = (changes.short_ids(side, dataset.key) for side in (before, after))
+        if known is None:
             feed = changes.diff(before, after, dataset.key, ignore=ignored)
         else:
             now = self.spark.read.parquet(folder).drop("buckets")
             changed = self._kept(changes.changed_buckets(known, now), "changed-buckets")
             feed = changes.diff_changed(before, after, dataset.key, changed, buckets, ignored)
+        feed = changes.long_ids(feed, dataset.key) if short else feed
         # One folder per version: a refresh that died before it published is repeated
         # under the same number and replaces its part of the feed. The feed comes before
         # the table, so consumers may see a change twice after such a death, never miss one.
