@@ -44,9 +44,7 @@ def _written(df: DataFrame, label: str) -> DataFrame:
 
 
 def _terms(df: DataFrame, text: str, *keep: str | Column) -> DataFrame:
-    # An outer one: else Spark asks whether there are words before it takes them, and splits twice.
-    words = df.select(*keep, F.explode_outer(tx.words(F.col(text))).alias("term"))
-    return words.filter(F.col("term").isNotNull())
+    return df.select(*keep, F.explode(tx.words(F.col(text))).alias("term"))
 
 
 def _parts(df: DataFrame, text: str) -> int:
@@ -156,8 +154,8 @@ def predict(
 def document_frequencies(df: DataFrame, text: str, min_chars: int = tx.MIN_CHARS) -> DataFrame:
     """(term, texts, corpus): in how many texts a word stands, of how many there are."""
     long = df.filter(tx.long_enough(F.col(text), min_chars))
-    found = long.select(F.explode_outer(F.array_distinct(tx.words(F.col(text)))).alias("term"))
-    counts = found.filter("term IS NOT NULL").groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
+    found = long.select(F.explode(F.array_distinct(tx.words(F.col(text)))).alias("term"))
+    counts = found.groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
     return _written(counts.withColumn("corpus", F.lit(long.count())), "document-frequencies")
 
 
@@ -174,8 +172,8 @@ def summarize(
     long = df.filter(is_long & F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     parts = _parts(long, "_text")
     split = long.repartition(parts, "_key").select(
-        "_key", F.posexplode_outer(tx.sentences(F.col("_text"))).alias("_at", "sentence")
-    ).filter("sentence IS NOT NULL")
+        "_key", F.posexplode(tx.sentences(F.col("_text"))).alias("_at", "sentence")
+    )
     corpus = frequencies.agg(F.max("corpus")).first()[0] or 1
     words = _terms(split, "sentence", "_key", "_at")
     idf = F.log(F.col("corpus") / F.col("texts")).alias("idf")
