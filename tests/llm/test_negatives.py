@@ -115,3 +115,91 @@ def test_pruning_skips_rows_but_never_one_that_reaches_the_threshold():
 def test_rounds_cover_every_bucket():
     assert negatives.rounds(0) == []
     assert negatives.rounds(10, 4) == [(0, 0), (1, 4), (5, 9)]
+
+
+def test_copies_of_rows_and_anchors_grow_with_the_rows():
+    # Vectors of 64 parts, every fiftieth an anchor: a row's copies and an anchor's, per row.
+    for rows in (50_000, 600_000, 5_000_000, 15_000_000):
+        classes = [(0, rows, 1.0, 64)]
+        asked, most = rows // 50, negatives.fitting(classes)
+        bucket_rows = negatives.rows_in_buckets(classes)
+        buckets = negatives.parts_for(rows, bucket_rows)
+        spans = [last - first + 1 for first, last in negatives.rounds(buckets)]
+        blocks = [negatives.blocks_of(asked, min(most, negatives.ANCHOR_ROWS), n) for n in spans]
+        copies = sum(b * n * bucket_rows for b, n in zip(blocks, spans)) + asked * buckets
+        assert copies < 8 * rows
+        assert bucket_rows * 64 <= negatives.BLOCK_VALUES
+
+
+def test_small_vectors_travel_in_few_bytes_and_come_back():
+    drawn = np.random.default_rng(3).normal(size=(50, 64))
+    drawn /= np.sqrt((drawn**2).sum(axis=1, keepdims=True))
+    drawn[7] *= 30
+    drawn[8] *= 1e6
+    found, lengths = negatives.packed(drawn)
+    assert [len(found[k]) for k in (0, 7, 8)] == [65, 129, 513]
+    assert np.allclose(lengths, np.sqrt((np.floor(256 * drawn) ** 2).sum(axis=1)) / 256)
+    mixed = [*found, *negatives.packed(np.array([[1.0, -2.0]]))[0], *negatives.packed(np.zeros((1, 0)))[0]]
+    opened = negatives.unpacked(np.array(mixed, dtype=object))
+    assert (opened[:50] == np.floor(256 * drawn)).all()
+    assert opened[50].tolist() == [256, -512] + [0] * 62
+    assert not opened[51].any()
+    beyond = negatives.unpacked(np.array(negatives.packed(np.array([[1e308, 0.5]]))[0], dtype=object))
+    assert beyond[0].tolist() == [int(1e308) * 256, 128]
+
+
+@pytest.mark.parametrize("size", [1, 1e4, 1e6])
+@pytest.mark.parametrize("copies", [1, 300])
+def test_tiles_against_all_products(monkeypatch, size, copies):
+    monkeypatch.setattr(negatives, "TILE_ROWS", 64)
+    monkeypatch.setattr(negatives, "TILE_ANCHORS", 8)
+    monkeypatch.setattr(negatives, "WAITING", 50)
+    rng = np.random.default_rng(4)
+    vectors = np.floor(256 * size * rng.normal(size=(500, 6)))
+    vectors[: copies - 1] = vectors[copies - 1]
+    vectors[490:, 0] = 0
+    ids = np.sort(rng.choice(5000, 500, replace=False))
+    labels = rng.integers(0, 3, 500)
+    asked = np.arange(0, 500, 9)
+    scores = [[sum(int(x) * int(y) for x, y in zip(vectors[a], v)) for v in vectors] for a in asked]
+    ordered = np.sort(np.array(scores, dtype=object), axis=1)
+    lows = np.array([[-(1 << 63), r[300], r[480]] for r in ordered], dtype=np.int64)
+    highs = np.array([[r[450], r[495], (1 << 63) - 1] for r in ordered], dtype=np.int64)
+    for some in (slice(0, 3), slice(1, 3), slice(2, 3)):
+        bucket = negatives.Bucket(ids, labels, vectors)
+        found = negatives.searched(
+            bucket, vectors[asked], lows[:, some], highs[:, some], 4, lambda a, r: labels[r] != labels[asked[a]]
+        )
+        expected = [
+            (a, w, r, scores[a][r])
+            for a, k in enumerate(asked)
+            for w, (low, high) in enumerate(zip(lows[a, some].tolist(), highs[a, some].tolist()))
+            for r in sorted(
+                (r for r in range(500) if labels[r] != labels[k] and low <= scores[a][r] <= high),
+                key=lambda r: (-scores[a][r], ids[r]),
+            )[:4]
+        ]
+        assert sorted(zip(*(x.tolist() for x in found))) == sorted(expected)
+
+
+def test_best_ranges_count_every_row_that_reaches_the_threshold():
+    rng = np.random.default_rng(5)
+    vectors = np.floor(256 * rng.normal(size=(400, 5)) * [20, 1, 1, 1, 1])
+    bucket = negatives.Bucket(np.arange(400), np.zeros(400, int), vectors)
+    lengths, units = negatives._lengths(vectors[:60])
+    scores = vectors[:60] @ vectors.T
+    for share in (0.5, 0.9, 0.99, 1.0):
+        thresholds = np.quantile(scores, share, axis=1)
+        reachable = bucket.reachable(units, lengths, thresholds)
+        assert (reachable >= (scores >= thresholds[:, None]).sum(axis=1)).all()
+        near = [len(bucket.feasible(*x)) for x in zip(units, lengths.tolist(), thresholds.tolist())]
+        assert all(n <= r or n == 400 for n, r in zip(near, reachable))
+    assert (reachable < 200).sum() > 20
+    assert not bucket.reachable(units, lengths, np.full(60, 1e18)).any()
+
+
+def test_blocks_of_early_rounds(spark, monkeypatch):
+    monkeypatch.setattr(negatives, "LEAST_ANCHORS", 3)
+    monkeypatch.setattr(negatives, "BUCKET_ROWS", 20)
+    rows = some_rows(160) + ODD
+    assert mined(spark, rows) == brute(rows, lambda i: i % 4 == 0)
